@@ -32,15 +32,23 @@ def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
     source = lambda name: F.col(name) if name in df.columns else null
     number = lambda name, kind="double": clean_number(source(name), keep_sign, kind)
 
+    # Money is parsed from the text at its own scale, so it is rounded once.
+    def money(kind: str, *names: str, otherwise: Column) -> Column:
+        value = otherwise
+        for name in reversed(names):
+            value = F.when(number(name).isNotNull(), number(name, kind)).otherwise(value)
+        return value
+
     units = F.coalesce(number("QTY"), F.lit(0.0))
+    sales = F.coalesce(number("SALES_AMOUNT"), F.lit(0.0))
     stock = F.coalesce(number("STOCK"), number("STOCK_LEVEL"), F.lit(float(stock_default)))
-    wide = "decimal(38,6)"
-    sales = F.when(number("SALES_AMOUNT").isNull(), F.lit(0).cast(wide)).otherwise(
-        number("SALES_AMOUNT", wide)
-    )
-    per_unit = sales.cast("double") / F.when(units == 0, 1.0).otherwise(units)
-    price = F.coalesce(number("RRP", wide), number("PRICE", wide), per_unit.try_cast(wide))
-    staged = df.select(
+    per_unit = sales / F.when(units == 0, 1.0).otherwise(units)
+    assumed_cost = F.col("_price") * F.lit(COST_SHARE).cast("decimal(2,1)")
+    typed = df.select(
+        "*",
+        money("decimal(10,2)", "RRP", "PRICE", otherwise=per_unit.try_cast("decimal(10,2)"))
+        .alias("_price"),
+    ).select(
         F.coalesce(
             *[source(c) for c in ("RETAILER_ID", "retailer_id") if c in df.columns],
             F.lit(retailer_id),
@@ -49,18 +57,15 @@ def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
         source("ITEM_CODE").alias("sku_id"),
         parse_date(source("DATE")).alias("date"),
         whole(units).alias("units_sold"),
-        sales.try_cast("decimal(12,2)").alias("sales_value"),
+        money("decimal(12,2)", "SALES_AMOUNT", otherwise=F.lit(0).cast("decimal(12,2)"))
+        .alias("sales_value"),
         whole(stock).alias("stock_level"),
         promo_flag(source("PROMO_FLAG")).alias("promo_active"),
-        price.try_cast("decimal(10,2)").alias("price"),
-        number("COST", wide).alias("_cost"),
+        F.col("_price").alias("price"),
+        money("decimal(10,2)", "COST", otherwise=assumed_cost.try_cast("decimal(10,2)"))
+        .alias("cost"),
         *[F.col(c) for c in carry or []],
     )
-    assumed = F.col("price") * F.lit(COST_SHARE).cast("decimal(2,1)")
-    typed = staged.withColumn(
-        "cost", F.when(F.col("_cost").isNotNull(), F.col("_cost").try_cast("decimal(10,2)"))
-        .otherwise(assumed.try_cast("decimal(10,2)"))
-    )
     return typed.withColumn(REASON, row_fault()).select(*_FACT_COLUMNS, REASON, *(carry or []))
 
 

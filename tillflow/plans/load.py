@@ -33,12 +33,13 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
                master: DataFrame | None = None, order: str = POSITION,
                process_type: str = "incremental", loaded_at: dt.datetime | None = None,
                keep_sign: bool = False, stock_default: int = 0,
-               add_unknown: bool = True) -> LoadResult:
+               add_unknown: bool = True, load_id: str | None = None) -> LoadResult:
     """Transform, complete the dimensions, filter, upsert, note the watermark.
 
     The parsed batch is written once to the shared folder and every later step reads that
     copy, so the raw files are parsed once and a lost executor costs no second parse. Rows
-    that cannot be loaded are kept with their reason. With ``add_unknown`` off, products
+    that cannot be loaded are kept with their reason under ``load_id``, so that a repeated
+    load does not keep them twice. With ``add_unknown`` off, products
     and stores missing from the dimensions are rejected, not added.
     """
     spark = tables.spark
@@ -47,8 +48,10 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
     transform_sales(raw, retailer_id, keep_sign, stock_default, [order]).write.parquet(staged_path)
     staged = spark.read.parquet(staged_path)
     good, bad = accepted(staged), rejected(staged)
+    if staged.isEmpty():
+        return LoadResult(0, 0, bad, load_summary(good))
     require_fact_columns(good)
-    require_populated(good, [c for c in good.columns if c != order])
+    require_populated(staged, [c for c in good.columns if c != order])
 
     retailers = ensure_retailer(tables.read("dim_retailer"), retailer_id, created_at=loaded_on)
     seen = retailers_of(good).withColumn("created_at", F.lit(loaded_on).cast("date"))
@@ -73,9 +76,11 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
     tables.set_watermark(watermark_row(known, loaded_at))
 
     rejects = bad.unionByName(unknown).select(*staged.columns)
-    rejects.drop(order).write.mode("append").parquet(tables.path("quarantine"))
-    counts = known.agg(F.count(F.lit(1)).alias("n")).first().n
-    return LoadResult(counts, rejects.count(), rejects, load_summary(good))
+    label = load_id or staged_path.rsplit("/", 1)[-1]
+    rejects.drop(order).write.mode("overwrite").parquet(
+        f"{tables.path('quarantine')}/load_id={label}"
+    )
+    return LoadResult(known.count(), rejects.count(), rejects, load_summary(good))
 
 
 def reject_counts(rejects: DataFrame) -> DataFrame:

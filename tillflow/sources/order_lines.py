@@ -9,14 +9,17 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillflow.operators.calendar import calendar_between
+from tillflow.schemas import FACT_SALES
 
 FIRST_DAY = dt.date(1998, 11, 2)
 TRADING_DAYS = 119
 AS_OF = dt.date(1999, 2, 28)
 GRAINS = ("brand", "part")
+# The fact's columns as derived here, without the load date.
+FACT_LAYOUT = T.StructType([f for f in FACT_SALES.fields if f.name != "created_at"])
 
 
 @dataclass(frozen=True)
@@ -160,6 +163,10 @@ def star_tables(spark: SparkSession, sf_dir: str, grain: str = "brand") -> StarT
     )
 
 
+def text(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
 def _variant(selector: Column, cases: dict[int, Column], default: Column) -> Column:
     picked = default
     for number, value in cases.items():
@@ -178,7 +185,6 @@ def raw_sales(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFra
     value = F.col("value").cast("string")
     null = F.lit(None).cast("string")
     iso = F.date_format("date", "yyyy-MM-dd")
-    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     return lines.select(
         _variant(pick % 89, {0: F.lit("no such store"), 1: null}, F.col("store_id"))
         .alias("STORE_NAME"),
@@ -211,3 +217,45 @@ def raw_sales(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFra
         F.struct("order_number", "line_number", "store_id", "sku_id", "date", "quantity", "value")
         .alias("feed_position"),
     )
+
+
+def as_sales_file(fact: DataFrame) -> DataFrame:
+    """Fact rows as the text columns of a sales file."""
+    columns = {
+        "RETAILER_ID": "retailer_id", "STORE_NAME": "store_id", "ITEM_CODE": "sku_id",
+        "Date": "date", "QTY": "units_sold", "SALES_PRE_VAT": "sales_value", "RRP": "price",
+        "COST": "cost", "STOCK": "stock_level", "PROMO_FLAG": "promo_active",
+    }
+    return fact.select(*[F.col(c).cast("string").alias(name) for name, c in columns.items()])
+
+
+def raw_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A master sheet, one row per part: repeated brands, new products, gaps and blanks."""
+    key = F.col("p_partkey")
+    null = F.lit(None).cast("string")
+    return _table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") <= 25, F.col("p_brand")).otherwise(text("P", key)).alias("CODE"),
+        text("  ", F.col("p_name"), " ").alias("NAME"),
+        F.when(key % 3 == 0, null).otherwise(F.col("p_type")).alias("CATEGORY"),
+        text("Dept ", key % 7).alias("DEPARTMENT"),
+        text("Sub ", key % 5).alias("SUB DEPARTMENT"),
+        text(" Micro ", key % 11).alias("MICRO DEPARTMENT"),
+        F.when(key % 4 == 0, null).otherwise(F.col("p_brand")).alias("Brand"),
+        F.when(key % 2 == 0, "20").otherwise("0").alias("VAT"),
+        text("Supplier ", key % 13).alias("SUPPLIER"),
+        key.alias("sheet_row"),
+    )
+
+
+def store_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Untrimmed store rows, one per supplier, some without a key."""
+    row = F.col("s_suppkey")
+    return _table(spark, sf_dir, "supplier").select(
+        F.when(row % 10 == 0, F.lit("  ")).when(row % 10 == 1, text("S", row))
+        .otherwise(text(" ", F.col("s_nationkey"))).alias("store_id"),
+        text(F.col("s_name"), "  ").alias("store_name"),
+        F.when(row % 3 == 0, F.lit(None).cast("string")).otherwise(text("Region ", row % 4))
+        .alias("region"),
+        F.lit(" kiosk ").alias("store_type"),
+        row.alias("sheet_row"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,7 +34,7 @@ def with_position(batch: DataFrame) -> DataFrame:
 
 def land_sales(tables: SavedTables, folder: str, checkpoint: str,
                options: dict | None = None, max_files: int | None = None,
-               load: Callable = load_sales, **load_options) -> StreamingQuery:
+               **load_options) -> StreamingQuery:
     """Load all files that arrived since the last run, then stop.
 
     The stream's checkpoint remembers the files; an upsert that is repeated after a
@@ -44,8 +44,10 @@ def land_sales(tables: SavedTables, folder: str, checkpoint: str,
     limits = {"maxFilesPerTrigger": max_files} if max_files else {}
     stream = sales_file_stream(tables.spark, folder, **(options or {}), **limits)
 
+    label = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        load(tables, with_position(batch), **load_options)
+        load_sales(tables, with_position(batch), load_id=f"{label}-{batch_id}", **load_options)
 
     return (
         stream.writeStream.foreachBatch(load_batch)
