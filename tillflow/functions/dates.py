@@ -6,18 +6,23 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
-# Accepted date layouts with the pattern that admits them.
-ISO_DATE = ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$")
-DAY_FIRST_DATE = ("d/M/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$")
+# Accepted date layouts, and how each is turned into the ISO one.
+ISO_DATE = (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$2-$3")
+DAY_FIRST_DATE = (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1")
 DATE_LAYOUTS = (ISO_DATE, DAY_FIRST_DATE)
 
 
 def parse_date(col: Column, layouts=DATE_LAYOUTS) -> Column:
-    """First layout that fits; null for impossible days and unknown layouts."""
+    """Text in one of the layouts to a date; null for impossible days and other texts.
+
+    Texts are matched before they are cast: a failing date parser raises per row, which
+    costs far more than a pattern.
+    """
     text = col.cast("string")
-    return F.coalesce(*[
-        F.when(text.rlike(shape), F.try_to_date(text, layout)) for layout, shape in layouts
-    ])
+    for pattern, iso in layouts:
+        if (pattern, iso) != ISO_DATE:
+            text = F.regexp_replace(text, pattern, iso)
+    return F.regexp_extract(text, ISO_DATE[0], 0).try_cast("date")
 
 
 def month_start(col: Column) -> Column:

@@ -10,20 +10,33 @@ NOT_A_DIGIT = r"[^\d\.]"
 NEGATIVE_MARK = r"^\s*[-(]"
 
 
-def digits_text(col: Column) -> Column:
-    return F.regexp_replace(col.cast("string"), NOT_A_DIGIT, "")
+def number_text(col: Column, keep_sign: bool = False) -> Column:
+    """The digits and points of a text, ready to be parsed.
+
+    The sign is dropped by default (returns then count as sales); ``keep_sign`` keeps it.
+    """
+    text = col.cast("string")
+    digits = F.regexp_replace(text, NOT_A_DIGIT, "")
+    if not keep_sign:
+        return digits
+    return F.concat(F.when(text.rlike(NEGATIVE_MARK), "-").otherwise(""), digits)
 
 
 def clean_number(col: Column, keep_sign: bool = False, data_type: str = "double") -> Column:
     """Text to number; what does not parse becomes null.
 
-    The sign is dropped by default (returns then count as sales); ``keep_sign`` keeps it.
     A decimal ``data_type`` is parsed from the text itself, not by way of a double.
     """
-    value = digits_text(col).try_cast(data_type)
-    if not keep_sign:
-        return value
-    return F.when(col.cast("string").rlike(NEGATIVE_MARK), -value).otherwise(value)
+    return number_text(col, keep_sign).try_cast(data_type)
+
+
+def parse_money(text: Column, data_type: str, missing: Column) -> Column:
+    """A decimal from cleaned text; ``missing`` where there is no number.
+
+    Null only for a number that does not fit the type.
+    """
+    unreadable = text.try_cast("double").isNull()
+    return F.coalesce(text.try_cast(data_type), F.when(unreadable, missing))
 
 
 def whole(col: Column) -> Column:

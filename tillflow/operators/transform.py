@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tillflow.functions.dates import parse_date
-from tillflow.functions.numbers import clean_number, whole
+from tillflow.functions.numbers import number_text, parse_money, whole
 from tillflow.functions.text import promo_flag
 from tillflow.operators.validate import standard_columns
 from tillflow.schemas import DEFAULT_RETAILER_ID, FACT_KEY
@@ -19,36 +21,25 @@ _FACT_COLUMNS = ["retailer_id", "store_id", "sku_id", "date", "units_sold", "sal
 
 def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
                     keep_sign: bool = False, stock_default: int = 0,
-                    carry: list[str] | None = None) -> DataFrame:
+                    carry: list[str] | None = None,
+                    observation: Observation | None = None) -> DataFrame:
     """Map, parse and default the raw columns.
 
     Price is the list price, else the price, else value per unit; cost defaults to a
     share of the price. Unreadable numbers become zero, but a number that does not fit
     its column is left null and named in ``reject_reason``, as is a missing key or date.
     ``carry`` keeps further columns, such as the file position.
+
+    The rows are counted on the way, in ``observation`` if given. The counting also keeps
+    a filter on the reason above the parsing: pushed below, it would parse all texts twice.
     """
     df = standard_columns(raw)
     null = F.lit(None).cast("string")
     source = lambda name: F.col(name) if name in df.columns else null
-    number = lambda name, kind="double": clean_number(source(name), keep_sign, kind)
-
-    # Money is parsed from the text at its own scale, so it is rounded once.
-    def money(kind: str, *names: str, otherwise: Column) -> Column:
-        value = otherwise
-        for name in reversed(names):
-            value = F.when(number(name).isNotNull(), number(name, kind)).otherwise(value)
-        return value
-
-    units = F.coalesce(number("QTY"), F.lit(0.0))
-    sales = F.coalesce(number("SALES_AMOUNT"), F.lit(0.0))
-    stock = F.coalesce(number("STOCK"), number("STOCK_LEVEL"), F.lit(float(stock_default)))
-    per_unit = sales / F.when(units == 0, 1.0).otherwise(units)
-    assumed_cost = F.col("_price") * F.lit(COST_SHARE).cast("decimal(2,1)")
-    typed = df.select(
-        "*",
-        money("decimal(10,2)", "RRP", "PRICE", otherwise=per_unit.try_cast("decimal(10,2)"))
-        .alias("_price"),
-    ).select(
+    texts = {name: number_text(source(name), keep_sign) for name in (
+        "QTY", "SALES_AMOUNT", "STOCK", "STOCK_LEVEL", "RRP", "PRICE", "COST")}
+    # Steps build on one another, so that each text is cleaned and parsed once.
+    cleaned = df.select(
         F.coalesce(
             *[source(c) for c in ("RETAILER_ID", "retailer_id") if c in df.columns],
             F.lit(retailer_id),
@@ -56,17 +47,36 @@ def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
         source("STORE_ID").alias("store_id"),
         source("ITEM_CODE").alias("sku_id"),
         parse_date(source("DATE")).alias("date"),
-        whole(units).alias("units_sold"),
-        money("decimal(12,2)", "SALES_AMOUNT", otherwise=F.lit(0).cast("decimal(12,2)"))
-        .alias("sales_value"),
-        whole(stock).alias("stock_level"),
         promo_flag(source("PROMO_FLAG")).alias("promo_active"),
-        F.col("_price").alias("price"),
-        money("decimal(10,2)", "COST", otherwise=assumed_cost.try_cast("decimal(10,2)"))
-        .alias("cost"),
+        *[text.alias(name) for name, text in texts.items()],
         *[F.col(c) for c in carry or []],
     )
-    return typed.withColumn(REASON, row_fault()).select(*_FACT_COLUMNS, REASON, *(carry or []))
+    parsed = cleaned.withColumns({
+        "_units": F.coalesce(F.col("QTY").try_cast("double"), F.lit(0.0)),
+        "_stock": F.coalesce(F.col("STOCK").try_cast("double"),
+                             F.col("STOCK_LEVEL").try_cast("double"),
+                             F.lit(float(stock_default))),
+        "sales_value": parse_money(F.col("SALES_AMOUNT"), "decimal(12,2)",
+                                   F.lit(0).cast("decimal(12,2)")),
+    })
+    units = F.when(F.col("_units") == 0, 1.0).otherwise(F.col("_units"))
+    # Settled on ten decimals first, so that ties round away from zero.
+    per_unit = (F.col("SALES_AMOUNT").try_cast("double") / units).try_cast("decimal(38,10)")
+    per_unit = F.coalesce(per_unit, F.lit(0)).try_cast("decimal(10,2)")
+    list_price = parse_money(F.col("PRICE"), "decimal(10,2)", per_unit)
+    assumed_cost = F.col("price") * F.lit(COST_SHARE).cast("decimal(2,1)")
+    typed = parsed.withColumns({
+        "units_sold": whole(F.col("_units")),
+        "stock_level": whole(F.col("_stock")),
+        "price": parse_money(F.col("RRP"), "decimal(10,2)", list_price),
+    }).withColumn(
+        "cost", parse_money(F.col("COST"), "decimal(10,2)", assumed_cost.cast("decimal(10,2)"))
+    )
+    judged = typed.withColumn(REASON, row_fault()).select(*_FACT_COLUMNS, REASON, *(carry or []))
+    return judged.observe(
+        observation or f"transform-{uuid.uuid4().hex}",
+        F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("rejected"),
+    )
 
 
 def row_fault() -> Column:
