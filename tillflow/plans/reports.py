@@ -23,15 +23,13 @@ DEAD_STOCK_DAYS = 30
 PROMO_GAP_DAYS = 90
 LOW_UPLIFT_PCT = 20
 
-_NO_MONEY = F.lit(0).cast("decimal(12,2)")
-
 
 def _since(fact: DataFrame, first_day: dt.date) -> DataFrame:
     return fact.filter(F.col("date") >= F.lit(first_day))
 
 
-def _sum_where(condition: Column, column: str, zero: Column | None = None) -> Column:
-    return F.sum(F.when(condition, F.col(column)).otherwise(F.lit(0) if zero is None else zero))
+def _sum_where(condition: Column, column: str, kind: str = "int") -> Column:
+    return F.sum(F.when(condition, F.col(column)).otherwise(F.lit(0).cast(kind)))
 
 
 def _rows_where(condition: Column) -> Column:
@@ -50,7 +48,7 @@ def sales_summary(fact: DataFrame, as_of: dt.date) -> DataFrame:
             F.sum("units_sold").alias("total_units_sold"),
             F.sum("sales_value").alias("total_sales_value"),
             _sum_where(promo, "units_sold").alias("promo_units_sold"),
-            _sum_where(promo, "sales_value", _NO_MONEY).alias("promo_sales_value"),
+            _sum_where(promo, "sales_value", "decimal(12,2)").alias("promo_sales_value"),
         )
         .orderBy(F.desc("date"))
     )
@@ -138,8 +136,8 @@ def promo_uplift(fact: DataFrame, as_of: dt.date) -> DataFrame:
         .agg(
             _sum_where(promo, "units_sold").alias("promo_units"),
             _sum_where(~promo, "units_sold").alias("other_units"),
-            _sum_where(promo, "sales_value", _NO_MONEY).alias("promo_sales"),
-            _sum_where(~promo, "sales_value", _NO_MONEY).alias("other_sales"),
+            _sum_where(promo, "sales_value", "decimal(12,2)").alias("promo_sales"),
+            _sum_where(~promo, "sales_value", "decimal(12,2)").alias("other_sales"),
             _rows_where(promo).alias("promo_rows"),
             _rows_where(~promo).alias("other_rows"),
         )

@@ -257,8 +257,9 @@ def upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = SavedTables(spark, scratch_path(spark, "upsert"))
     tables.create()
     tables.write_days(lines.fact_sales(spark, sf_dir))
-    batch = _batch(spark, sf_dir).withColumn("retailer_id", F.lit("1"))
-    tables.upsert_fact(batch, ORDER, LOADED_AT.date())
+    staged = scratch_path(spark, "batch")
+    _batch(spark, sf_dir).withColumn("retailer_id", F.lit("1")).write.parquet(staged)
+    tables.upsert_fact(spark.read.parquet(staged), ORDER, LOADED_AT.date())
     return tables.read("fact_sales")
 
 

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-MONEY = T.DecimalType(12, 2)
-UNIT_MONEY = T.DecimalType(10, 2)
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(),
+    "decimal(12,2)": T.DecimalType(12, 2), "decimal(10,2)": T.DecimalType(10, 2),
+}
 
 
 def _fields(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A schema from ``name type`` pairs; works without a session."""
+    pairs = (column.split() for column in text.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 DIM_RETAILER = _fields("retailer_id string, retailer_name string, created_at date")

@@ -167,52 +167,53 @@ def text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def _variant(selector: Column, cases: dict[int, Column], default: Column) -> Column:
+def _variant(modulus: int, cases: dict[int, Column], default: Column) -> Column:
     picked = default
     for number, value in cases.items():
-        picked = F.when(selector == number, value).otherwise(picked)
+        picked = F.when(F.col(f"_pick_{modulus}") == number, value).otherwise(picked)
     return picked
 
 
+_MODULI = (5, 6, 7, 11, 12, 13, 17, 19, 23, 29, 83, 89)
+
+
 def raw_sales(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
     """An untidy text feed, one row per order line, in the raw file's own columns.
 
     ``feed_position`` orders the rows the way a file would.
     """
-    lines = sale_lines(spark, sf_dir, grain)
     pick = F.col("order_number") * 7 + F.col("line_number") * 3 + F.col("quantity")
+    lines = sale_lines(spark, sf_dir, grain).withColumns(
+        {f"_pick_{m}": (pick % m).cast("int") for m in _MODULI}
+    )
     units = F.col("quantity").cast("string")
     value = F.col("value").cast("string")
     null = F.lit(None).cast("string")
-    iso = F.date_format("date", "yyyy-MM-dd")
+    item = F.col("item_name")
+    list_price = F.col("list_price").cast("string")
     return lines.select(
-        _variant(pick % 89, {0: F.lit("no such store"), 1: null}, F.col("store_id"))
-        .alias("STORE_NAME"),
-        _variant(pick % 83, {0: F.lit("no such item"), 1: null}, F.col("sku_id"))
-        .alias("ITEM_CODE"),
-        _variant(pick % 13, {
-            0: text("  o'neil   100g ", F.col("item_name"), "-wine "),
-            1: text(F.col("item_name"), " 500ML"), 2: text("1 lb ", F.col("item_name")),
-            3: text(F.col("item_name"), " 6 pack"), 4: text("x 5 large ", F.col("item_name")),
-            5: null,
-        }, F.col("item_name")).alias("ITEM_NAME"),
+        _variant(89, {0: F.lit("no such store"), 1: null}, F.col("store_id")).alias("STORE_NAME"),
+        _variant(83, {0: F.lit("no such item"), 1: null}, F.col("sku_id")).alias("ITEM_CODE"),
+        _variant(13, {
+            0: text("  o'neil   100g ", item, "-wine "), 1: text(item, " 500ML"),
+            2: text("1 lb ", item), 3: text(item, " 6 pack"), 4: text("x 5 large ", item), 5: null,
+        }, item).alias("ITEM_NAME"),
         F.col("item_type").alias("CATEGORY"),
-        _variant(pick % 23, {
+        _variant(23, {
             0: text("1,", F.lpad(units, 3, "0")), 1: text("-", units), 2: text("(", units, ")"),
             3: F.lit("1.2.3"), 4: F.lit("1e5"), 5: F.lit(""), 6: null, 7: text(units, ".9"),
         }, units).alias("QTY"),
-        _variant(pick % 19, {0: F.lit(""), 1: text("$", value), 2: text("-", value), 3: F.lit("n/a")},
+        _variant(19, {0: F.lit(""), 1: text("$", value), 2: text("-", value), 3: F.lit("n/a")},
                  value).alias("SALES_PRE_VAT"),
-        _variant(pick % 17, {
+        _variant(17, {
             0: F.date_format("date", "dd/MM/yyyy"), 1: F.lit("1999-02-30"), 2: F.lit("x"), 3: null,
-        }, iso).alias("Date"),
-        _variant(pick % 11, {0: F.lit("1,234.50"), 1: F.lit("$9.99"), 2: F.lit(""), 3: null},
-                 F.col("list_price").cast("string")).alias("RRP"),
-        _variant(pick % 7, {0: F.lit("")}, F.col("list_price").cast("string")).alias("PRICE"),
-        _variant(pick % 5, {0: F.lit("")}, F.lit("4.25")).alias("COST"),
-        _variant(pick % 29, {0: F.lit(""), 1: null},
-                 (pick % 12).cast("string")).alias("STOCK"),
-        _variant(pick % 6, {0: F.lit("Y"), 1: F.lit("1"), 2: F.lit("true"), 3: F.lit(""), 4: null},
+        }, F.date_format("date", "yyyy-MM-dd")).alias("Date"),
+        _variant(11, {0: F.lit("1,234.50"), 1: F.lit("$9.99"), 2: F.lit(""), 3: null}, list_price)
+        .alias("RRP"),
+        _variant(7, {0: F.lit("")}, list_price).alias("PRICE"),
+        _variant(5, {0: F.lit("")}, F.lit("4.25")).alias("COST"),
+        _variant(29, {0: F.lit(""), 1: null}, F.col("_pick_12").cast("string")).alias("STOCK"),
+        _variant(6, {0: F.lit("Y"), 1: F.lit("1"), 2: F.lit("true"), 3: F.lit(""), 4: null},
                  F.lit("N")).alias("PROMO_FLAG"),
         F.struct("order_number", "line_number", "store_id", "sku_id", "date", "quantity", "value")
         .alias("feed_position"),
