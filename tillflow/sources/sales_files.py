@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillflow.functions.text import missing_to_null
@@ -84,13 +86,17 @@ def _rows(spark: SparkSession, path, header: list[str], encoding: str, options:
     return normal_columns(df, position().alias(POSITION))
 
 
-def _files_with_bad_bytes(df: DataFrame) -> list[str]:
-    """Files in which some value did not decode. File names only, however many rows."""
+def _files_by_encoding(df: DataFrame) -> tuple[list[str], list[str]]:
+    """Files that decoded and files in which some value did not: one row per file."""
     damaged = F.lit(False)
     for name in df.columns:
         damaged = damaged | F.coalesce(F.contains(quoted(name), F.lit(REPLACEMENT)), F.lit(False))
-    found = df.filter(damaged).select(F.col("_metadata.file_path")).distinct()
-    return [row.file_path for row in found.toLocalIterator()]
+    files = df.select(F.col("_metadata.file_path").alias("path"), damaged.alias("damaged")).groupBy(
+        "path").agg(F.bool_or("damaged").alias("damaged"))
+    good, bad = [], []
+    for row in files.orderBy("path").toLocalIterator():
+        (bad if row.damaged else good).append(unquote(row.path))
+    return good, bad
 
 
 def read_sales_csv(spark: SparkSession, path, encoding: str = "auto", **options) -> DataFrame:
@@ -108,29 +114,32 @@ def read_sales_csv(spark: SparkSession, path, encoding: str = "auto", **options)
         return read_sales_csv(spark, path, "ISO-8859-1", **options)
     schema, checks = header_options(header)
     decoded = spark.read.options(**options, **checks).schema(schema).csv(path)
-    bad = _files_with_bad_bytes(decoded)
+    good, bad = _files_by_encoding(decoded)
     if not bad:
         return _rows(spark, path, header, "UTF-8", options)
     result = read_sales_csv(spark, bad, "ISO-8859-1", **options)
-    good = sorted(set(decoded.inputFiles()) - set(bad))
     if good:
         result = result.unionByName(read_sales_csv(spark, good, "UTF-8", **options))
     return result
 
 
+def _csv_files(spark: SparkSession, folder: str, master: bool) -> list[str]:
+    """CSV files of a folder by name; only their listing is read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    name = F.lower(F.element_at(F.split("path", "/"), -1))
+    marked = F.contains(name, F.lit("master"))
+    return [row.path for row in listed.select("path").filter(marked if master else ~marked)
+            .orderBy("path").toLocalIterator()]
+
+
 def discover_sales_files(spark: SparkSession, folder: str) -> list[str]:
     """CSV files of a folder whose name does not mark them as master sheets."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    names = listed.select("path").filter(
-        ~F.contains(F.lower(F.element_at(F.split("path", "/"), -1)), F.lit("master"))
-    )
-    return [row.path for row in names.orderBy("path").toLocalIterator()]
+    return _csv_files(spark, folder, master=False)
 
 
 def discover_master_files(spark: SparkSession, folder: str) -> list[str]:
     """CSV files of a folder whose name marks them as master sheets."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*master*.csv").load(folder)
-    return [row.path for row in listed.select("path").orderBy("path").toLocalIterator()]
+    return _csv_files(spark, folder, master=True)
 
 
 def read_master_csv(spark: SparkSession, path, **options) -> DataFrame:
