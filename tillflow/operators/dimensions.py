@@ -7,6 +7,7 @@ in the sales, then defaults.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -112,10 +113,21 @@ def merge_stores_from_master(dim_store: DataFrame, master: DataFrame, order: str
 
 def merge_skus_from_sales(dim_sku: DataFrame, sales: DataFrame, order: str,
                           loaded_at: dt.datetime | None = None) -> DataFrame:
-    """Add the products of a sales frame; of repeated products the last row counts."""
-    known = ["sku_id", *[c for c in SKU_DEFAULTS if c in sales.columns], order]
-    latest = keep_one(sales.select(*known), ["sku_id"], order, "last")
-    return fill_dimension(dim_sku, latest, DIM_SKU, "sku_id", SKU_DEFAULTS, loaded_at)
+    """Add the products of a sales frame; of repeated products the last row counts.
+
+    Attributes are looked up in the sales only for products that are new or have a gap:
+    once the dimension is filled, that leaves few rows to order by position.
+    """
+    attributes = [c for c in SKU_DEFAULTS if c in sales.columns]
+    seen = sales.select("sku_id").distinct()
+    if attributes:
+        current = conform(dim_sku, DIM_SKU)
+        gap = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in attributes])
+        complete = current.filter(~gap).select("sku_id")
+        wanted = seen.join(complete, "sku_id", "left_anti")
+        rows = sales.select("sku_id", *attributes, order).join(wanted, "sku_id", "left_semi")
+        seen = seen.join(keep_one(rows, ["sku_id"], order, "last"), "sku_id", "left")
+    return fill_dimension(dim_sku, seen, DIM_SKU, "sku_id", SKU_DEFAULTS, loaded_at)
 
 
 def merge_stores_from_sales(dim_store: DataFrame, sales: DataFrame,

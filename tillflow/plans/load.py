@@ -71,7 +71,10 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
     tables.replace("dim_time", days.unionByName(missing_days(good, days)))
 
     fresh = newer_than(good, tables.watermark(), process_type)
-    known, unknown = split_references(fresh, tables.read("dim_sku"), tables.read("dim_store"))
+    if add_unknown:   # every product and store of the batch has just been added
+        known, unknown = fresh, bad.limit(0)
+    else:
+        known, unknown = split_references(fresh, tables.read("dim_sku"), tables.read("dim_store"))
     tables.upsert_fact(known, order, loaded_on)
     tables.set_watermark(watermark_row(known, loaded_at))
 

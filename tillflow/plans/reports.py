@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillflow.functions.dates import month_start, previous_month, two_months_back, week_start
 from tillflow.functions.numbers import percent, round2
 from tillflow.operators.ranking import ntile, percentile, value_counts
+from tillflow.session import shared_folder
 
 # Report thresholds.
 TOP_UPLIFTS = 50
@@ -98,33 +99,31 @@ def asp_analysis(fact: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def numeric_distribution(fact: DataFrame, as_of: dt.date) -> DataFrame:
-    """Share of the month's assortment that the stores carry."""
-    carried = (
-        _since(fact, two_months_back(as_of))
-        .select(month_start(F.col("date")).alias("month"), "store_id", "sku_id")
-        .distinct()
+    """Share of the month's assortment that the stores carry.
+
+    Products per store and month and per month are counted as two grouping sets of one
+    scan, so the month's total needs neither a second scan nor a join.
+    """
+    recent = _since(fact, two_months_back(as_of)).select(
+        month_start(F.col("date")).alias("month"), "store_id", "sku_id"
     )
-    per_store = carried.groupBy("month", "store_id").agg(F.count("sku_id").alias("skus"))
-    stores = per_store.groupBy("month").agg(
-        F.sum("skus").alias("sum_skus"), F.count(F.lit(1)).alias("stores"),
-        F.min("skus").alias("min_skus"), F.max("skus").alias("max_skus"),
+    counts = recent.groupingSets([["month", "store_id"], ["month"]], "month", "store_id").agg(
+        F.count_distinct("sku_id").alias("skus"), F.grouping("store_id").alias("all_stores")
     )
-    totals = (
-        carried.select("month", "sku_id").distinct()
-        .groupBy("month").agg(F.count("sku_id").alias("total_skus"))
+    of_store = F.when(F.col("all_stores") == 0, F.col("skus"))
+    monthly = counts.groupBy("month").agg(
+        F.sum(of_store).alias("sum_skus"), F.count(of_store).alias("stores"),
+        F.min(of_store).alias("min_skus"), F.max(of_store).alias("max_skus"),
+        F.max(F.when(F.col("all_stores") == 1, F.col("skus"))).alias("total_skus"),
     )
     total = F.nullif(F.col("total_skus"), F.lit(0)).cast("double")
     share = lambda skus, divisor: F.col(skus).cast("double") / divisor * 100
-    return (
-        stores.join(totals, "month")
-        .select(
-            "month",
-            share("sum_skus", F.col("stores") * total).alias("avg_numeric_distribution_pct"),
-            share("min_skus", total).alias("min_numeric_distribution_pct"),
-            share("max_skus", total).alias("max_numeric_distribution_pct"),
-        )
-        .orderBy(F.desc("month"))
-    )
+    return monthly.select(
+        "month",
+        share("sum_skus", F.col("stores") * total).alias("avg_numeric_distribution_pct"),
+        share("min_skus", total).alias("min_numeric_distribution_pct"),
+        share("max_skus", total).alias("max_numeric_distribution_pct"),
+    ).orderBy(F.desc("month"))
 
 
 def promo_uplift(fact: DataFrame, as_of: dt.date) -> DataFrame:
@@ -182,8 +181,10 @@ def sku_velocity(fact: DataFrame, as_of: dt.date) -> DataFrame:
 def problem_stores(fact: DataFrame, dim_store: DataFrame, as_of: dt.date) -> DataFrame:
     """Stores with a thin range, little volume or many stock-outs against the average store.
 
-    Ratios are compared as products of whole numbers, so no rounding decides a case.
+    Ratios are compared as products of whole numbers, so no rounding decides a case. The
+    row per store is checkpointed: its sums and its averages would each scan the fact.
     """
+    shared_folder(fact.sparkSession)
     stores = (
         _since(fact, previous_month(as_of))
         .groupBy("store_id")
@@ -194,6 +195,7 @@ def problem_stores(fact: DataFrame, dim_store: DataFrame, as_of: dt.date) -> Dat
             F.count_distinct("date").alias("days_open"),
             _rows_where(F.col("stock_level") == 0).alias("out_of_stock_days"),
         )
+        .checkpoint()
     )
     exact = lambda name: F.col(name).cast("decimal(30,0)")
     totals = stores.agg(F.struct(
