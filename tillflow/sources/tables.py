@@ -63,7 +63,8 @@ class SavedTables:
     def upsert_fact(self, batch: DataFrame, order: str, loaded_on: dt.date | None = None) -> None:
         """Merge a batch into its days; the last row per key in ``order`` counts.
 
-        Only the days of the batch are read and rewritten. Their list is no longer than
+        The batch is read twice, so hand in a saved one. Only its days are read and
+        rewritten. Their list is no longer than
         the calendar and prunes the fact's partitions before any file is opened.
         """
         days = [r.date for r in batch.select("date").distinct().toLocalIterator()]
