@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillflow.llm import line_dedup, warc
+from tillflow.llm import bin_packing, line_dedup, warc, word_bpe
 from tillflow.llm.twins import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -36,3 +38,19 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.archive_pages(spark, pages).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op4_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = word_bpe.code_texts(docs, VOCABULARY, decode=True, keep=["doc_id"])
+    written = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(written, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bin_packing.pack_documents(docs, VOCABULARY)
