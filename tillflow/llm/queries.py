@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillflow.llm import bin_packing, line_dedup, warc, word_bpe
+from tillflow.llm import bin_packing, line_crf, line_dedup, toxicity_fm, warc, word_bpe
+from tillflow.llm.labelled import remainder
 from tillflow.llm.twins import ORACLES
+from tillflow.session import shared_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+QUALITY_THRESHOLD, TOXICITY_THRESHOLD = 0.3, 0.7
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -54,3 +57,24 @@ def op4_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bin_packing.pack_documents(docs, VOCABULARY)
+
+
+def _classified(spark: SparkSession, sf_dir: str, module, modulus: int, held: int,
+                threshold: float) -> DataFrame:
+    shared_folder(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = remainder("doc_id", modulus)
+    model = module.fit(docs, table(spark, sf_dir, "labels"), fold != held)
+    scored = module.score_texts(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (fold == held).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query
+def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, line_crf, 5, 0, QUALITY_THRESHOLD)
+
+
+@query
+def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, toxicity_fm, 3, 1, TOXICITY_THRESHOLD)
