@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillflow.llm import bin_packing, line_crf, line_dedup, toxicity_fm, warc, word_bpe
+from tillflow.llm import bin_packing, line_crf, line_dedup, near_dups, toxicity_fm, warc, word_bpe
 from tillflow.llm.labelled import remainder
 from tillflow.llm.twins import ORACLES
 from tillflow.session import shared_folder
@@ -78,3 +78,9 @@ def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity_fm, 3, 1, TOXICITY_THRESHOLD)
+
+
+@query
+def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dups.near_duplicates(docs, percent=85)

@@ -80,11 +80,13 @@ class FactorizationMachine:
 
 
 def train(x: np.ndarray, y: np.ndarray, rank: int = 8, steps: int = 250, rate: float = 0.05,
-          decay: float = 1e-4, seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
+          decay: float = 1e-5, seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
     """Bias, weights and factors of the logistic loss, by Adam; both classes weigh the same."""
     rng = np.random.default_rng(seed)
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    params = [np.zeros(1), np.zeros(x.shape[1]), rng.normal(0, 0.01, (x.shape[1], rank))]
+    share = share.astype(np.float32)
+    params = [np.zeros(1, np.float32), np.zeros(x.shape[1], np.float32),
+              rng.normal(0, 0.01, (x.shape[1], rank)).astype(np.float32)]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
@@ -93,7 +95,7 @@ def train(x: np.ndarray, y: np.ndarray, rank: int = 8, steps: int = 250, rate: f
         z = bias[0] + x @ w + 0.5 * (xv ** 2 - x @ v ** 2).sum(axis=1)
         error = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         xe = x.T @ error
-        grads = [np.array([error.sum()]), xe + decay * w,
+        grads = [np.array([error.sum()], np.float32), xe + decay * w,
                  x.T @ (error[:, None] * xv) - xe[:, None] * v + decay * v]
         for k, g in enumerate(grads):
             first[k] = 0.9 * first[k] + 0.1 * g
