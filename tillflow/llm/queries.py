@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillflow.llm import bin_packing, line_crf, line_dedup, near_dups, toxicity_fm, warc, word_bpe
+from tillflow.llm import bin_packing, line_crf, line_dedup, near_dups, order_minhash, toxicity_fm, warc, word_bpe
 from tillflow.llm.labelled import remainder
 from tillflow.llm.twins import ORACLES
 from tillflow.session import shared_folder
@@ -84,3 +84,11 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dups.near_duplicates(docs, percent=85)
+
+
+@query
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return order_minhash.fingerprints(docs).select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next")
