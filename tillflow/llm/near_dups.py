@@ -34,7 +34,7 @@ from tillflow.session import scratch_path
 
 BIN_BITS, MANTISSA = 7, 10
 BINS = 1 << BIN_BITS
-BANDS, ROWS = 21, 6
+BANDS, ROWS = 25, 5
 EMPTY = np.uint16(0xFFFF)
 # Mean collision probability of two random registers, times 2 ** MANTISSA, for sets of like
 # size (Yu and Weber, HyperMinHash, 2017).

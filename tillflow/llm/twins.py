@@ -42,3 +42,67 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN page_id < keeper THEN keeper END AS refers_to
 FROM sized
 """
+
+ORACLES["op5_near_dups"] = f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")},
+                                                     '[ \\x09-\\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+grams AS (
+    SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5
+        THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3),
+            lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS gram
+    FROM worded),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT x, y FROM common JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+    WHERE 100 * c >= 85 * (s.n + t.n - c)),
+reach AS (
+    SELECT doc_id AS origin, doc_id AS hop FROM sizes
+    UNION SELECT origin, y FROM reach JOIN links ON hop = x),
+least AS (SELECT origin, min(hop) AS c FROM reach GROUP BY origin)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id,
+       coalesce(c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.origin = d.doc_id
+"""
+
+ORACLES["op6_chat_parts"] = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+shown AS (
+    SELECT *, length(replace(replace(replace(text, chr(92), 'xx'), '<', 'xx'), '[', 'xx')) + 15
+        + CASE WHEN role IN ('user', 'assistant') THEN 0 ELSE 1 + length(role) END AS size
+    FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+           AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), ''))
+           AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
+ORACLES["op7_topk_nra"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT)
+        AS rank
+    FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
