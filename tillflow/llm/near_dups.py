@@ -2,8 +2,8 @@
 
 Each document's distinct word shingles are hashed once to 64 bits. The upper bits choose one of
 ``BINS`` registers; of the smallest remainder in each the count of leading zeros and the next
-``MANTISSA`` bits are kept, 16 bits in all. Registers, with empty ones filled from the next to
-the right, are banded; documents that share a band are candidates. A candidate pair is compared
+``MANTISSA`` bits are kept, 16 bits in all. Registers, with empty ones filled from others in a
+fixed order, are banded; documents that share a band are candidates. A candidate pair is compared
 by the share of equal registers, corrected for chance collisions, and only pairs within five
 standard errors of the threshold are verified, on the full shingle sets.
 
@@ -26,21 +26,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillflow.llm.components import Components
 from tillflow.llm.word_bpe import slices
 from tillflow.session import scratch_path
 
-BIN_BITS, MANTISSA = 7, 10
+BIN_BITS, MANTISSA = 8, 10
 BINS = 1 << BIN_BITS
-BANDS, ROWS = 25, 5
+BANDS, ROWS = 36, 7
 EMPTY = np.uint16(0xFFFF)
 # Mean collision probability of two random registers, times 2 ** MANTISSA, for sets of like
 # size (Yu and Weber, HyperMinHash, 2017).
 CHANCE = 0.169919487159739
 STAR_ROUNDS = 3
-SIGNATURE = "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>"
+SIGNATURE = ("doc_id long, n_shingles long, digest binary, registers array<int>, "
+             "filled array<long>, bands array<long>")
 
 _random = np.random.default_rng(5)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -49,6 +50,8 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
 _PLACE = _random.integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
+# Attempt by attempt, where each register looks: every column is a permutation.
+_PROBES = np.stack([_random.permutation(BINS) for _ in range(BINS)], axis=1)
 _STEP = _random.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -119,29 +122,62 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def tokens(regs: np.ndarray) -> np.ndarray:
+    """The filled registers as bin and value in one number; equal ones are equal registers."""
+    bins = np.flatnonzero(regs != EMPTY)
+    return (bins << 16 | regs[bins]).astype(np.int32)
+
+
+def filled_bins(regs: np.ndarray) -> np.ndarray:
+    """Which registers are filled, as bits."""
+    bits = np.packbits(regs != EMPTY, axis=1, bitorder="little")
+    return bits.view("<i8").astype(np.int64)
+
+
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """(sets, BANDS) keys; empty registers take the next filled one to the right."""
-    n = len(regs)
+    """(sets, BANDS) keys. An empty register takes the first filled one in its own fixed order
+    of all registers, so that the bands of small sets draw independently from the filled ones.
+    """
     filled = regs != EMPTY
-    twice = np.concatenate([filled, filled], axis=1)
-    place = np.where(twice, np.arange(2 * BINS), 2 * BINS)
-    ahead = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :BINS] % BINS
-    dense = np.take_along_axis(regs, ahead, axis=1).astype(np.uint64)
-    rows = dense[:, :BANDS * ROWS].reshape(n, ROWS, BANDS)
-    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) + np.uint64(1), (n, BANDS)).copy()
+    dense = regs.copy()
+    row, col = np.nonzero(~filled & filled.any(axis=1)[:, None])
+    for order in _PROBES:
+        if not len(row):
+            break
+        source = order[col]
+        found = filled[row, source]
+        dense[row[found], col[found]] = regs[row[found], source[found]]
+        row, col = row[~found], col[~found]
+    rows = dense.astype(np.uint64)[:, :BANDS * ROWS].reshape(len(regs), ROWS, BANDS)
+    key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(regs), 1))
     for r in range(ROWS):
         key = mixed(key * _STEP[r] + rows[:, r, :])
     return key.view(np.int64)
 
 
-def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray):
-    """Jaccard estimates of register rows, corrected for chance collisions, and their error."""
-    either = ((a != EMPTY) | (b != EMPTY)).sum(axis=1)
-    equal = ((a == b) & (a != EMPTY)).sum(axis=1)
-    ratio = na / np.maximum(nb, 1)
-    chance = CHANCE * 2.0 ** -MANTISSA * 4 * ratio / (1 + ratio) ** 2
-    share = equal / np.maximum(either, 1)
-    return (share - chance) / (1 - chance), either
+def may_reach(threshold: float, a: str, b: str) -> Column:
+    """Whether the estimate of a joined pair lies within five standard errors of the threshold.
+
+    Columns r, f and n with the suffixes ``a`` and ``b`` hold registers, filled bins and set
+    sizes. The registers in use are a sample without replacement of the union, whose size at
+    the threshold is known, so small sets are estimated almost exactly.
+    """
+    def of(name: str, side: str) -> Column:
+        return F.col(name + side)
+
+    equal = F.size(F.array_intersect(of("r", a), of("r", b)))
+    words = BINS // 64
+    either = sum((F.bit_count(of("f", a)[w].bitwiseOR(of("f", b)[w])) for w in range(words)),
+                 F.lit(0))
+    na, nb = of("n", a).cast("double"), of("n", b).cast("double")
+    ratio = na / nb
+    chance = F.lit(CHANCE * 4 / (1 << MANTISSA)) * ratio / ((1 + ratio) * (1 + ratio))
+    jaccard = (equal / either - chance) / (1 - chance)
+    sampled = F.least(either * (1 + threshold) / (na + nb), F.lit(1.0))
+    error = F.sqrt(threshold * (1 - threshold) / either * F.greatest(1 - sampled, F.lit(0.02)))
+    # Sets whose sizes differ too much cannot reach the threshold.
+    sizes = F.least(na, nb) >= F.floor(threshold * F.greatest(na, nb))
+    return sizes & (jaccard >= threshold - 5 * error)
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
@@ -158,7 +194,8 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                     batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                               for s in sets], pa.binary()),
-                    pa.array([r.tobytes() for r in regs], pa.binary()),
+                    pa.array([tokens(r) for r in regs], pa.list_(pa.int32())),
+                    pa.array(list(filled_bins(regs)), pa.list_(pa.int64())),
                     pa.array(list(band_keys(regs)), pa.list_(pa.int64()))], names)
 
     return rows.mapInArrow(sign, SIGNATURE)
@@ -179,30 +216,14 @@ def set_rows(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, estimate) of pairs that may reach the threshold."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(
-                -1, BINS) for c in ("ra", "rb"))
-            na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            value, bins = estimate(ra, rb, na, nb)
-            error = np.sqrt(threshold * (1 - threshold) / np.maximum(bins, 1))
-            may = pa.array(value >= threshold - 5 * error)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(value)],
-                ["a", "b", "estimate"]).filter(may)
-
+    """The pairs (a, b) that may reach the threshold, with the number of equal registers."""
     def side(x: str) -> DataFrame:
         return classes.select(F.col("id").alias(x), F.col("registers").alias("r" + x),
-                              F.col("n_shingles").alias("n" + x))
+                              F.col("filled").alias("f" + x), F.col("n_shingles").alias("n" + x))
 
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
-    # Sets whose sizes differ too much cannot reach the threshold.
-    near = F.least("na", "nb") >= F.floor(threshold * F.greatest("na", "nb"))
-    return sized.where(near).mapInArrow(compare, "a long, b long, estimate double")
+    return sized.where(may_reach(threshold, "a", "b")).select(
+        "a", "b", F.size(F.array_intersect("ra", "rb")).alias("equal"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,7 +251,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> Dat
     linkable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = keep(linkable.groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
-        F.first("registers").alias("registers"), F.first("bands").alias("bands")), "classes")
+        F.first("registers").alias("registers"), F.first("filled").alias("filled"),
+        F.first("bands").alias("bands")), "classes")
     members = classes.select("id", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     buckets = keep(members.join(shared, "band"), "buckets")
@@ -250,22 +272,25 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> Dat
         pairs = here.join(heads, "band").where("comp <> head_comp").select(
             F.col("id").alias("a"), F.col("head").alias("b")).distinct()
         best = estimated(pairs, classes, threshold).groupBy("a").agg(
-            F.max_by("b", "estimate").alias("b"))
+            F.max_by("b", "equal").alias("b"))
         if not parts.add(verified(best, sets, percent)) and number:
             break
 
-    here = parts.label(buckets, "id", "comp").join(classes.select("id", "bands"), "id")
+    here = parts.label(buckets, "id", "comp")
     unsettled = here.groupBy("band").agg(
         (F.min("comp") != F.max("comp")).alias("open")).where("open").select("band")
-    left = keep(here.join(unsettled, "band"), "unsettled")
-    x = left.select("band", *[F.col(c).alias(c + "_a") for c in ("id", "comp", "bands")])
-    y = left.select("band", *[F.col(c).alias(c + "_b") for c in ("id", "comp", "bands")])
+    left = here.join(unsettled, "band").join(classes.select(
+        "id", "bands", F.col("registers").alias("r"), F.col("filled").alias("f"),
+        F.col("n_shingles").alias("n")), "id")
+    x, y = (left.select("band", *[F.col(c).alias(c + side) for c in left.columns if c != "band"])
+            for side in ("_a", "_b"))
     # A pair that shares several bands counts at the first of them only.
+    first = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("band")
     rest = x.join(y, "band").where(
-        (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b"))
-        & (F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("band"))
+        (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & first
+        & may_reach(threshold, "_a", "_b")
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    parts.add(verified(estimated(rest, classes, threshold), sets, percent))
+    parts.add(verified(rest, sets, percent))
 
     of_class = parts.label(classes.select("digest", "id"), "id", "component_id").select(
         "digest", "component_id")
