@@ -612,3 +612,28 @@ FROM fact_sales""",
 }
 
 ORACLES = {**REPORTS, **VIEWS, **INGEST}
+
+
+def part_grain(sql: str) -> str:
+    """The same report with single parts as products."""
+    return sql.replace("p_brand AS sku_id", "'P' || p_partkey AS sku_id").replace(
+        "CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS sku_number",
+        "p_partkey % 25 AS sku_number")
+
+
+ORACLES |= {f"{name}_part": part_grain(ORACLES[name])
+            for name in ("kpi_asp_analysis", "kpi_promo_uplift", "kpi_sku_velocity")}
+ORACLES["watermark_state"] = ORACLES["watermark"]
+ORACLES["load_counts"] = f"""{BATCH_DIMS}, mark AS (
+  SELECT max(date) AS day FROM batch WHERE date <= DATE '1999-01-31'
+), checked AS (
+  SELECT date > (SELECT day FROM mark) AS fresh,
+         sku_id IN (SELECT sku_id FROM dim_sku)
+           AND store_id IN (SELECT store_id FROM dim_store) AS known
+  FROM batch
+)
+SELECT count(*) FILTER (fresh AND known) AS loaded,
+       count(*) FILTER (fresh AND NOT known)
+         + (SELECT count(*) FROM transformed WHERE reject_reason IS NOT NULL) AS rejected,
+       count(*) FILTER (NOT fresh) AS skipped
+FROM checked"""

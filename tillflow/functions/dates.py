@@ -8,8 +8,10 @@ from pyspark.sql import Column, functions as F
 
 # Accepted date layouts, and how each is turned into the ISO one.
 ISO_DATE = (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$2-$3")
-DAY_FIRST_DATE = (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1")
-DATE_LAYOUTS = (ISO_DATE, DAY_FIRST_DATE)
+_TIME = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?Z?)?$"
+ISO_WITH_TIME = (r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})" + _TIME, "$1-$2-$3")
+DAY_FIRST_WITH_TIME = (r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})" + _TIME, "$3-$2-$1")
+DATE_LAYOUTS = (ISO_WITH_TIME, DAY_FIRST_WITH_TIME)
 
 
 def parse_date(col: Column, layouts=DATE_LAYOUTS) -> Column:

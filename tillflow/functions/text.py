@@ -19,6 +19,11 @@ _CASED_RUNS = r"([\p{IsUppercase}\p{IsLowercase}\p{Lt}]+|[^\p{IsUppercase}\p{IsL
 _WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
+def strip(col: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(col, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def missing_to_null(col: Column) -> Column:
     return F.when(~col.isin(MISSING_SPELLINGS), col)
 

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tillflow.functions.text import strip
 from tillflow.operators.merge import full_merge, keep_one
 from tillflow.schemas import (DIM_RETAILER, DIM_SKU, DIM_STORE, MASTER_NAMES, SEED_RETAILER,
                               conform)
@@ -146,8 +147,8 @@ def upsert_dimension(current: DataFrame, incoming: DataFrame, schema: T.StructTy
     """
     present = [c for c in columns if c in incoming.columns]
     trimmed = incoming.select(
-        F.trim(F.col(key).cast("string")).alias(key),
-        *[F.trim(F.col(c)).alias(c) if isinstance(schema[c].dataType, T.StringType) else F.col(c)
+        strip(F.col(key).cast("string")).alias(key),
+        *[strip(F.col(c)).alias(c) if isinstance(schema[c].dataType, T.StringType) else F.col(c)
           for c in present],
         order,
     )

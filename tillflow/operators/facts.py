@@ -21,6 +21,9 @@ def require_fact_columns(batch: DataFrame) -> None:
     if absent:
         raise ValueError(f"fact batch lacks columns: {', '.join(absent)}")
 
+# How far a batch may be dated after its load and still move the watermark.
+AHEAD = dt.timedelta(days=7)
+
 
 def newer_than(batch: DataFrame, watermark: dt.date | None,
                process_type: str = "incremental") -> DataFrame:
@@ -79,7 +82,13 @@ def merge_fact(current: DataFrame, latest: DataFrame,
 
 
 def watermark_row(batch: DataFrame, updated_at: dt.datetime | None = None) -> DataFrame:
-    """The state row after a batch: its latest date."""
+    """The state row after a batch: its latest date.
+
+    Dates more than AHEAD after the load are left aside: sheets may be dated a little ahead,
+    but a mistyped year must not stop all later loads.
+    """
+    if updated_at is not None:
+        batch = batch.where(F.col("date") <= F.lit(updated_at.date() + AHEAD))
     return conform(
         batch.agg(F.max("date").alias("day")).filter(F.col("day").isNotNull()).select(
             F.lit(WATERMARK).alias("key"), F.col("day").cast("string").alias("value"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tillflow.functions.dates import parse_date
 from tillflow.functions.numbers import number_text, parse_money, whole
-from tillflow.functions.text import promo_flag
+from tillflow.functions.text import promo_flag, strip
 from tillflow.operators.validate import standard_columns
 from tillflow.schemas import DEFAULT_RETAILER_ID, FACT_KEY
 
@@ -84,7 +84,7 @@ def row_fault() -> Column:
     blank_key = F.lit(False)
     for key in FACT_KEY:
         if key != "date":
-            blank_key = blank_key | F.col(key).isNull() | (F.trim(F.col(key)) == "")
+            blank_key = blank_key | F.col(key).isNull() | (strip(F.col(key)) == "")
     too_large = F.lit(False)
     for measure in ("units_sold", "sales_value", "stock_level", "price", "cost"):
         too_large = too_large | F.col(measure).isNull()

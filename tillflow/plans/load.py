@@ -21,10 +21,14 @@ from tillflow.session import scratch_path
 from tillflow.sources.tables import SavedTables
 
 
+RAW_ROW = "raw_row"
+
+
 @dataclass(frozen=True)
 class LoadResult:
     loaded: int
     rejected: int
+    skipped: int
     rejects: DataFrame
     summary: DataFrame
 
@@ -39,19 +43,25 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
     The parsed batch is written once to the shared folder and every later step reads that
     copy, so the raw files are parsed once and a lost executor costs no second parse. Rows
     that cannot be loaded are kept with their reason under ``load_id``, so that a repeated
-    load does not keep them twice. With ``add_unknown`` off, products
-    and stores missing from the dimensions are rejected, not added.
+    load does not keep them twice; rows that could not be parsed keep their texts as JSON in
+    ``raw_row``. With ``add_unknown`` off, products and stores missing from the dimensions are
+    rejected, not added. An incremental load counts the rows up to the watermark as skipped:
+    loaded, rejected and skipped rows add up to the batch.
     """
     spark = tables.spark
     loaded_on = loaded_at.date() if loaded_at else None
     staged_path = scratch_path(spark, "batch")
-    transform_sales(raw, retailer_id, keep_sign, stock_default, [order]).write.parquet(staged_path)
+    texts = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != order]))
+    parsed = transform_sales(raw.withColumn(RAW_ROW, texts), retailer_id, keep_sign,
+                             stock_default, [order, RAW_ROW])
+    parsed.withColumn(RAW_ROW, F.when(F.col(REASON).isNotNull(), F.col(RAW_ROW))).write.parquet(
+        staged_path)
     staged = spark.read.parquet(staged_path)
     good, bad = accepted(staged), rejected(staged)
     if staged.isEmpty():
-        return LoadResult(0, 0, bad, load_summary(good))
+        return LoadResult(0, 0, 0, bad, load_summary(good))
     require_fact_columns(good)
-    require_populated(staged, [c for c in good.columns if c != order])
+    require_populated(staged, [c for c in good.columns if c not in (order, RAW_ROW)])
 
     retailers = ensure_retailer(tables.read("dim_retailer"), retailer_id, created_at=loaded_on)
     seen = retailers_of(good).withColumn("created_at", F.lit(loaded_on).cast("date"))
@@ -77,13 +87,14 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
         known, unknown = split_references(fresh, tables.read("dim_sku"), tables.read("dim_store"))
     tables.upsert_fact(known, order, loaded_on)
     tables.set_watermark(watermark_row(known, loaded_at))
+    skipped = 0 if process_type == "full" else good.count() - fresh.count()
 
     rejects = bad.unionByName(unknown).select(*staged.columns)
     label = load_id or staged_path.rsplit("/", 1)[-1]
     rejects.drop(order).write.mode("overwrite").parquet(
         f"{tables.path('quarantine')}/load_id={label}"
     )
-    return LoadResult(known.count(), rejects.count(), rejects, load_summary(good))
+    return LoadResult(known.count(), rejects.count(), skipped, rejects, load_summary(good))
 
 
 def reject_counts(rejects: DataFrame) -> DataFrame:

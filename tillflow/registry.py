@@ -68,6 +68,16 @@ QUERIES |= {
 }
 
 
+# At the grain of single parts: limits, ties and medians over thousands of products.
+QUERIES |= {
+    f"{name}_part": lambda spark, sf_dir, build=build: build(
+        lines.star_tables(spark, sf_dir, "part").fact_sales, AS_OF)
+    for name, build in (("kpi_asp_analysis", reports.asp_analysis),
+                        ("kpi_promo_uplift", reports.promo_uplift),
+                        ("kpi_sku_velocity", reports.sku_velocity))
+}
+
+
 def _view(name: str) -> Query:
     return lambda spark, sf_dir: view_frame(
         spark, name, lines.star_tables(spark, sf_dir).as_dict())
@@ -263,12 +273,16 @@ def upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read("fact_sales")
 
 
-def _load(spark: SparkSession, sf_dir: str):
+def _prepared(spark: SparkSession, sf_dir: str):
     tables = SavedTables(spark, scratch_path(spark, "load"))
     tables.create()
     tables.replace("dim_sku", conform(lines.dim_sku(spark, sf_dir), DIM_SKU))
     tables.replace("dim_store", conform(lines.dim_store(spark, sf_dir), DIM_STORE))
-    raw = lines.raw_sales(spark, sf_dir)
+    return tables, lines.raw_sales(spark, sf_dir)
+
+
+def _load(spark: SparkSession, sf_dir: str):
+    tables, raw = _prepared(spark, sf_dir)
     return tables, load_sales(tables, raw, "7", order=ORDER, loaded_at=LOADED_AT,
                               add_unknown=False)
 
@@ -284,7 +298,30 @@ def batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the load kept back, with their reason."""
     _, result = _load(spark, sf_dir)
-    return result.rejects.drop(ORDER)
+    return result.rejects.drop(ORDER, "raw_row")
+
+
+@query
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An incremental load above a stored watermark: every row is loaded, kept back or skipped."""
+    tables, raw = _prepared(spark, sf_dir)
+    tables.set_watermark(facts.watermark_row(
+        _batch(spark, sf_dir).where(F.col("date") <= F.lit(SINCE))))
+    result = load_sales(tables, raw, "7", order=ORDER, loaded_at=LOADED_AT, add_unknown=False,
+                        process_type="incremental")
+    return spark.createDataFrame([(result.loaded, result.rejected, result.skipped)],
+                                 "loaded long, rejected long, skipped long")
+
+
+@query
+def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored watermark after a batch and then an older one."""
+    tables = SavedTables(spark, scratch_path(spark, "state"))
+    tables.create()
+    batch = _batch(spark, sf_dir)
+    for part in (batch, batch.where(F.col("date") <= F.lit(SINCE))):
+        tables.set_watermark(facts.watermark_row(part, LOADED_AT))
+    return tables.read("etl_metadata").select("key", "value")
 
 
 @query

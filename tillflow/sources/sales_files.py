@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tillflow.functions.text import missing_to_null
+from tillflow.functions.text import missing_to_null, strip
 from tillflow.schemas import MASTER_NAMES, POSITION
 
+# Quotes inside a quoted field are doubled; a backslash is ordinary text.
+DIALECT = {"quote": '"', "escape": '"'}
 BOM_MARKS = ("﻿", "ï»¿")
-REPLACEMENT = "�"
 
 
 def normal_header(name: str) -> str:
@@ -32,7 +31,8 @@ def distinct_headers(names: list[str]) -> list[str]:
 
 def raw_header(spark: SparkSession, path, encoding: str = "UTF-8", **options) -> list[str]:
     """Headings of the first file as they stand; reads one line."""
-    first = spark.read.options(**options).csv(path, header=False, encoding=encoding).first()
+    first = spark.read.options(**{**DIALECT, **options}).csv(
+        path, header=False, encoding=encoding).first()
     if first is None:
         raise ValueError(f"no header found in {path}")
     return ["" if value is None else value for value in first]
@@ -80,47 +80,50 @@ def normal_columns(df: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def _rows(spark: SparkSession, path, header: list[str], encoding: str, options: dict) -> DataFrame:
-    schema, checks = header_options(header)
-    df = spark.read.options(**options, **checks).schema(schema).csv(path, encoding=encoding)
-    return normal_columns(df, position().alias(POSITION))
+def _named(df: DataFrame) -> DataFrame:
+    """Normalised headings beside the position."""
+    names = [c for c in df.columns if c != POSITION]
+    return df.select(*[missing_to_null(quoted(old)).alias(new)
+                       for old, new in zip(names, distinct_headers(names))], POSITION)
+
+
+def decoded_name(name: str) -> str:
+    """A heading read as Latin-1, as UTF-8 if its bytes are that."""
+    try:
+        return name.encode("latin-1").decode("utf-8")
+    except UnicodeError:
+        return name
 
 
-def _files_by_encoding(df: DataFrame) -> tuple[list[str], list[str]]:
-    """Files that decoded and files in which some value did not: one row per file."""
-    damaged = F.lit(False)
-    for name in df.columns:
-        damaged = damaged | F.coalesce(F.contains(quoted(name), F.lit(REPLACEMENT)), F.lit(False))
-    files = df.select(F.col("_metadata.file_path").alias("path"), damaged.alias("damaged")).groupBy(
-        "path").agg(F.bool_or("damaged").alias("damaged"))
-    good, bad = [], []
-    for row in files.orderBy("path").toLocalIterator():
-        (bad if row.damaged else good).append(unquote(row.path))
-    return good, bad
+def decoded_value(value: Column) -> Column:
+    """A value read as Latin-1, which loses no byte, as UTF-8 if its bytes are that."""
+    read = F.encode(value, "ISO-8859-1").cast("string")
+    return F.when(F.is_valid_utf8(read), read).otherwise(value)
+
+
+def decoded_columns(df: DataFrame) -> DataFrame:
+    """All text columns and headings decoded; other columns stay."""
+    return df.select(*[
+        (decoded_value(quoted(f.name)) if f.dataType == T.StringType() else quoted(f.name))
+        .alias(decoded_name(f.name)) for f in df.schema.fields])
 
 
 def read_sales_csv(spark: SparkSession, path, encoding: str = "auto", **options) -> DataFrame:
     """A header CSV as text columns plus ``file_position``.
 
     ``path`` is a file, a folder or a list of them, all with the same columns; read files
-    of another layout apart and union them by name. With ``auto``, files that are not
-    valid UTF-8 are read as Latin-1; that costs one scan, so name the encoding if known.
+    of another layout apart and union them by name. With ``auto``, each value is taken as
+    UTF-8 if its bytes are valid UTF-8 and as Latin-1 otherwise, in one scan.
     """
-    if encoding != "auto":
-        header = raw_header(spark, path, encoding, **options)
-        return _rows(spark, path, header, encoding, options)
-    header = raw_header(spark, path, **options)
-    if any(REPLACEMENT in name for name in header):
-        return read_sales_csv(spark, path, "ISO-8859-1", **options)
+    source = "ISO-8859-1" if encoding == "auto" else encoding
+    header = raw_header(spark, path, source, **options)
     schema, checks = header_options(header)
-    decoded = spark.read.options(**options, **checks).schema(schema).csv(path)
-    good, bad = _files_by_encoding(decoded)
-    if not bad:
-        return _rows(spark, path, header, "UTF-8", options)
-    result = read_sales_csv(spark, bad, "ISO-8859-1", **options)
-    if good:
-        result = result.unionByName(read_sales_csv(spark, good, "UTF-8", **options))
-    return result
+    df = spark.read.options(**{**DIALECT, **options}, **checks).schema(schema).csv(
+        path, encoding=source)
+    placed = df.withColumn(POSITION, position())
+    if encoding == "auto":
+        placed = decoded_columns(placed)
+    return _named(placed)
 
 
 def _csv_files(spark: SparkSession, folder: str, master: bool) -> list[str]:
@@ -155,6 +158,6 @@ def map_master_columns(master: DataFrame) -> DataFrame:
     renamed = master.withColumnsRenamed(MASTER_NAMES)
     text = {f.name for f in renamed.schema if isinstance(f.dataType, T.StringType)}
     return renamed.select(
-        *[F.trim(F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`")
+        *[strip(F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`")
           for c in renamed.columns]
     )

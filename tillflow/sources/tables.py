@@ -79,9 +79,11 @@ class SavedTables:
         return row.day if row else None
 
     def set_watermark(self, row: DataFrame) -> None:
-        """Store a state row; an empty frame leaves the state as it is."""
-        kept = self.read("etl_metadata").join(row.select("key"), "key", "left_anti")
-        self.replace("etl_metadata", kept.unionByName(row))
+        """Store a state row unless a later date is stored; an empty frame changes nothing."""
+        rows = self.read("etl_metadata").unionByName(row)
+        last = rows.groupBy("key").agg(F.max_by(
+            F.struct("value", "updated_at"), F.struct("value", "updated_at")).alias("state"))
+        self.replace("etl_metadata", last.select("key", "state.*"))
 
     def register(self, database: str) -> None:
         """Declare the saved tables in the catalog, so that views can name them."""

@@ -7,9 +7,11 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillflow.functions.text import missing_to_null
 from tillflow.plans.load import load_sales
 from tillflow.schemas import POSITION
-from tillflow.sources.sales_files import header_options, normal_columns, raw_header
+from tillflow.sources.sales_files import (DIALECT, decoded_columns, header_options,
+                                            distinct_headers, quoted, raw_header)
 from tillflow.sources.tables import SavedTables
 
 _FILE = "_file"
@@ -17,13 +19,17 @@ _FILE = "_file"
 
 def sales_file_stream(spark: SparkSession, folder: str, **options) -> DataFrame:
     """Raw rows of the files that arrive in ``folder``, with their file's place."""
-    schema, checks = header_options(raw_header(spark, folder, **options))
-    stream = spark.readStream.options(**options, **checks).schema(schema).csv(folder)
+    schema, checks = header_options(raw_header(spark, folder, "ISO-8859-1", **options))
+    stream = decoded_columns(spark.readStream.options(**{**DIALECT, **options}, **checks).schema(
+        schema).csv(folder, encoding="ISO-8859-1").withColumn(_FILE, F.col("_metadata")))
     place = F.struct(
-        F.col("_metadata.file_modification_time"), F.col("_metadata.file_name"),
-        F.col("_metadata.file_block_start"),
+        F.col(f"{_FILE}.file_modification_time"), F.col(f"{_FILE}.file_name"),
+        F.col(f"{_FILE}.file_block_start"),
     )
-    return normal_columns(stream, place.alias(_FILE))
+    columns = [c for c in stream.columns if c != _FILE]
+    return stream.select(*[missing_to_null(quoted(old)).alias(new)
+                           for old, new in zip(columns, distinct_headers(columns))],
+                         place.alias(_FILE))
 
 
 def with_position(batch: DataFrame) -> DataFrame:
