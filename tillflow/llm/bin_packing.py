@@ -3,9 +3,10 @@
 Documents are cut into pieces of at most ``capacity`` tokens. Full pieces are sequences already.
 The others are dealt at random over partitions of bounded size, and each is packed by best-fit
 decreasing. Dual feasible functions give a lower bound of each partition's sequences: where the
-bound is met, no packing of the partition is better. Partitions with a gap hand the documents
-of their unfilled sequences, and the rest their least filled one, to a new deal; it is taken if
-it needs fewer sequences. That ends when the bound of the whole is met or nothing improves.
+bound is met, no packing of the partition is better. While all partitions together need more
+than the bound of the whole, they exchange the documents of their unfilled sequences: these are
+dealt anew over partitions of twice the size, and the new packing is taken if it needs fewer
+sequences. That ends when the bound is met, when one partition is left, or after ``rounds``.
 
 Defined results: null and empty texts are one piece with the end token alone. Rows are packed
 one by one, repeated ones too. An empty table gives an empty result. Ties go by row number.
@@ -60,9 +61,12 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
     The first rounds sizes over capacity - t up to capacity and drops those under t, for every
     t up to half the capacity. The second rounds multiples of capacity / (k + 1).
     """
-    if not len(sizes):
-        return 0
-    count = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
+    return bound_of_counts(np.bincount(sizes, minlength=capacity + 1), capacity)
+
+
+def bound_of_counts(count: np.ndarray, capacity: int) -> int:
+    """The same of how often each size occurs, from 0 to ``capacity``."""
+    count = count.astype(np.int64)
     size = np.arange(capacity + 1, dtype=np.int64)
     up_to_count, up_to_sum = np.cumsum(count), np.cumsum(count * size)
     t = np.arange(0, capacity // 2 + 1)
@@ -137,29 +141,26 @@ def pack_pieces(pieces: DataFrame, capacity: int, partition_pieces: int = 20_000
         return rows.select(*PIECE_COLUMNS, (base + F.col("bin")).alias("sequence_id"), "offset")
 
     for number in range(rounds):
-        size = pool.agg(F.count("*").alias("n"), F.sum("length").alias("tokens")).first()
-        if not size["n"]:
+        # At most one row for each length.
+        count = np.zeros(capacity + 1, np.int64)
+        for row in pool.groupBy("length").count().collect():
+            count[row["length"]] = row["count"]
+        if not count.sum():
             break
-        groups = -(-size["n"] // partition_pieces)
+        groups = int(-(-count.sum() // (partition_pieces << number)))
         _pack_partitions(pool, groups, number, capacity).write.parquet(f"{folder}/{number}")
         packed = spark.read.parquet(f"{folder}/{number}")
         bins = packed.groupBy("group").agg(F.first("bins").alias("bins"))
         total = bins.agg(F.sum("bins").alias("n")).first()["n"]
         if waiting is not None and total >= waiting[1]:
-            pool = None
-            break  # the former packing stands
+            if groups == 1:
+                break
+            continue  # the former packing stands; another deal is tried
         waiting = (packed, total, number)
-        if groups == 1 or total <= -(-size["tokens"] // capacity):
-            pool = None
+        if groups == 1 or total <= bound_of_counts(count, capacity):
             break
-        # One open sequence of each partition, and all of those whose partition has a gap.
-        least = packed.where(F.col("fill") < capacity).groupBy("group").agg(
-            F.min_by("bin", F.struct("fill", "bin")).alias("open"))
-        marked = packed.join(least, "group", "left").withColumn("leaves", F.coalesce(
-            (F.col("fill") < capacity)
-            & ((F.col("bins") > F.col("bound")) | (F.col("bin") == F.col("open"))), F.lit(False)))
-        settled.append(placed(marked.where(~F.col("leaves")), number))
-        pool = marked.where("leaves")
+        settled.append(placed(packed.where(F.col("fill") == capacity), number))
+        pool = packed.where(F.col("fill") < capacity)
         left = pool.select("group", "bin").distinct().count()
         waiting = (pool, left, number)
     if waiting is not None:

@@ -76,7 +76,9 @@ class LineRuns:
                 fresh = fresh.join(self.spark.table(name).hint("merge"), "hash", "left_anti")
         run = self._save(fresh, 0)
         # Read by path, not as a bucketed table: AQE may then split a very common line.
-        owners = self.spark.read.parquet(self._path(run)).withColumn("new", F.lit(True))
+        # A run without new lines has no file to take a schema from.
+        owners = self.spark.read.schema(fresh.schema).parquet(self._path(run)).withColumn(
+            "new", F.lit(True))
         return lines.join(owners, "hash", "left").where(
             F.col("new").isNull() | ~F.col("id").eqNullSafe(F.col("owner"))
         ).select("id", "version", "pos")
