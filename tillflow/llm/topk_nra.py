@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillflow.session import scratch_path
 
 LIMIT = 1 << 28
+# Queries whose floor a task remembers; the floors only save reading.
+KNOWN_FLOORS = 100_000
 PACK = "dims int, block long, ids binary, vectors binary"
 FOUND = "query_id long, vec_id long, score long"
 
@@ -56,38 +58,49 @@ def packed_blocks(rows: DataFrame, block: Column) -> DataFrame:
 
 
 class SortedLists:
-    """A candidate block: ids, matrix, and for every dimension the rows by rising component."""
+    """A candidate block: ids, matrix, and for every dimension the rows by rising component.
+
+    ``place`` holds each row's place in each list, so that the rows read down to some depth are
+    told by a comparison.
+    """
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
         self.ids, self.matrix = ids, matrix
+        self.shares = matrix.astype(np.float64)
         self.rising = np.argsort(matrix, axis=0, kind="stable")
-
-    def top(self, query: np.ndarray, own: int, k: int, enough: int = 64,
-            step: int = 256) -> list[tuple[int, int]]:
-        """(score, id) of the k best rows, without the query's own id."""
-        n = len(self.ids)
-        lists = np.flatnonzero(query)
-        weights = query[lists]
-        order = np.where(weights > 0, self.rising[::-1, lists], self.rising[:, lists])
-        share = self.matrix[:, lists] * weights
-        columns = np.arange(len(lists))
-        least = share[order[-1], columns] if n else weights
-        unread = np.ones((n, len(lists)))
-        known = np.zeros(n)
-        alive = np.flatnonzero(self.ids != own)
-        depth = 0
+        self.place = np.empty(matrix.shape, np.int32)
+        np.put_along_axis(self.place, self.rising, np.arange(len(ids), dtype=np.int32)[:, None], 0)
+
+    def top(self, query: np.ndarray, own: int, k: int, floor: float = -np.inf,
+            enough: int = 512) -> list[tuple[int, int]]:
+        """(score, id) of the k best rows, without the query's own id.
+
+        ``floor`` is a score that k rows of other blocks are known to reach.
+        """
+        n, columns = self.matrix.shape[0], np.arange(self.matrix.shape[1])
+        up = query > 0
+        share = self.shares * query
+        place = np.where(up, n - 1 - self.place, self.place)
+
+        def at(held: np.ndarray, depth: int) -> np.ndarray:
+            """What the last row read of each list contributes at a depth."""
+            return held[np.where(up, self.rising[n - depth], self.rising[depth - 1]), columns]
+
+        whole, alive = share, np.flatnonzero(self.ids != own)
+        least, share, place = at(whole, n), share[alive], place[alive]
+        depth, step = 0, max(1, n // 8)
         while len(alive) > max(k, enough) and depth < n:
-            rows = order[depth:depth + step]
-            unread[rows, columns] = 0
-            known += np.bincount(rows.ravel(), weights=share[rows, columns].ravel(), minlength=n)
-            depth += len(rows)
-            at = share[rows[-1], columns].astype(float)
-            lower = known[alive] + unread[alive] @ least.astype(float)
-            upper = known[alive] + unread[alive] @ at
-            reach = np.partition(lower, -k)[-k]
+            depth = min(n, depth + (step if depth else 2 * step))
+            read = (place < depth).astype(np.float64)
+            known = np.einsum("ij,ij->i", share, read)
+            # Unread lists give at least their last and at most their present contribution.
+            bounds = np.column_stack([least, at(whole, depth)])
+            lower, upper = (known[:, None] + bounds.sum(axis=0) - read @ bounds).T
+            reach = max(floor, np.partition(lower, -k)[-k])
             # A hair below, as the bounds are floats; scores are resolved as whole numbers.
-            alive = alive[upper >= reach - 1e-6 * max(1.0, abs(reach))]
-            step *= 2
+            stays = upper >= reach - 1e-6 * max(1.0, abs(reach))
+            if not stays.all():
+                alive, share, place = alive[stays], share[stays], place[stays]
         scores = self.matrix[alive] @ query
         best = np.lexsort((self.ids[alive], -scores))[:k]
         return [(int(scores[b]), int(self.ids[alive[b]])) for b in best]
@@ -124,6 +137,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = lists = None
+        floors: dict[tuple, float] = {}  # of each query, from the blocks of this task
         for batch in batches:
             for row in range(batch.num_rows):
                 block, ids, vecs, query_ids, queries = (c[row].as_py() for c in batch.columns)
@@ -131,7 +145,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
                     last, lists = (block, ids), SortedLists(*_matrix(ids, vecs))
                 found = []
                 for own, query in zip(*_matrix(query_ids, queries)):
-                    found += [(int(own), i, s) for s, i in lists.top(query, int(own), k)]
+                    name = (int(own), query.tobytes())
+                    best = lists.top(query, int(own), k, floors.get(name, -np.inf))
+                    found += [(int(own), i, s) for s, i in best]
+                    if len(best) == k and len(floors) < KNOWN_FLOORS:
+                        floors[name] = max(floors.get(name, -np.inf), best[-1][0])
                 columns = list(zip(*found)) or [[], [], []]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
