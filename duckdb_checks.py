@@ -623,6 +623,41 @@ def part_grain(sql: str) -> str:
 
 ORACLES |= {f"{name}_part": part_grain(ORACLES[name])
             for name in ("kpi_asp_analysis", "kpi_promo_uplift", "kpi_sku_velocity")}
+ORACLES["sales_csv_quoted"] = f"""WITH {SALE_LINES}
+SELECT store_id AS STORE_NAME, sku_id AS ITEM_CODE,
+       item_name || CASE line_number % 4 WHEN 0 THEN ' 12" pan' WHEN 1 THEN ' C:\\'
+                         WHEN 2 THEN ', "large"' ELSE '' END AS ITEM_NAME
+FROM sale_lines"""
+ORACLES["sales_csv_latin1"] = f"""WITH {SALE_LINES}
+SELECT store_id AS STORE_NAME, sku_id AS ITEM_CODE,
+       item_name || CASE line_number % 2 WHEN 1 THEN ' Café' ELSE ' Caf\ufffd é' END AS ITEM_NAME
+FROM sale_lines"""
+ORACLES["stream_landing_latin1"] = f"""{FACT_ONLY}
+SELECT {FACT_COLUMNS.replace('store_id', "'Café ' || store_id AS store_id")},
+       DATE '1999-03-01' AS created_at FROM fact_sales"""
+ORACLES["dim_store_from_master"] = ORACLES["dim_store_upsert"].replace(
+    "ORDER BY sheet_row DESC", "ORDER BY sheet_row")
+ORACLES["evolved_upsert"] = f"""{FACT_ONLY}
+SELECT * REPLACE (CASE WHEN promo_active OR stock_level = 0 THEN units_sold + 1
+                       ELSE units_sold END AS units_sold),
+       CASE WHEN NOT promo_active AND stock_level = 0 THEN 'web' ELSE 'store' END AS channel
+FROM fact_sales"""
+ORACLES["loaded_dimensions"] = f"""{BATCH_DIMS}, {MASTER}, {calendar('batch')}, skus AS (
+  SELECT coalesce(d.sku_id, i.sku_id) AS sku_id, coalesce(i.sku_name, d.sku_name) AS sku_name
+  FROM dim_sku d FULL JOIN first_rows i ON i.sku_id = d.sku_id
+)
+SELECT 'dim_retailer' AS table_name, 'DEFAULT' AS key, 'Default Retailer' AS label
+UNION ALL SELECT 'dim_retailer', '7', 'Retailer 7'
+UNION ALL SELECT 'dim_sku', sku_id, sku_name FROM skus
+UNION ALL SELECT DISTINCT 'dim_sku', sku_id, 'Unknown SKU' FROM batch
+WHERE sku_id NOT IN (SELECT sku_id FROM skus)
+UNION ALL SELECT 'dim_store', store_id, store_name FROM dim_store
+UNION ALL SELECT DISTINCT 'dim_store', store_id, store_id FROM batch
+WHERE store_id NOT IN (SELECT store_id FROM dim_store)
+UNION ALL SELECT 'dim_time', CAST(date AS VARCHAR), day_name FROM dim_time"""
+ORACLES["report_counts"] = " UNION ALL ".join(
+    f"SELECT '{name.split('_', 1)[1]}' AS report, count(*) AS rows FROM ({sql})"
+    for name, sql in REPORTS.items())
 ORACLES["watermark_state"] = ORACLES["watermark"]
 ORACLES["load_counts"] = f"""{BATCH_DIMS}, mark AS (
   SELECT max(date) AS day FROM batch WHERE date <= DATE '1999-01-31'

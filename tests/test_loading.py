@@ -245,6 +245,27 @@ def test_load_refuses_an_empty_column(spark, tmp_path):
         load_sales(tables, read_sales_csv(spark, str(tmp_path / "a.csv")), "9")
 
 
+def test_load_refuses_a_file_without_quantities(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("STORE_NAME,ITEM_CODE,SALES_PRE_VAT,Date\ns1,a,5,2024-01-01\n")
+    tables = SavedTables(spark, str(tmp_path / "t"))
+    tables.create()
+    with pytest.raises(ValueError, match="QTY"):
+        load_sales(tables, read_sales_csv(spark, str(tmp_path / "a.csv")), "9")
+    assert tables.read("fact_sales").isEmpty()
+
+
+def test_added_columns_survive_later_upserts(spark, tmp_path):
+    tables = SavedTables(spark, str(tmp_path))
+    tables.create()
+    first = fact_rows(spark, ("s", "a", D1, 1, 1), ("s", "b", D1, 2, 2))
+    tables.upsert_fact(first.withColumn("channel", F.lit("web")), "seq", D1)
+    tables.upsert_fact(fact_rows(spark, ("s", "a", D1, 9, 1), ("s", "c", D1, 3, 2)), "seq", D2)
+    tables.upsert_fact(fact_rows(spark, ("s", "b", D1, 4, 1)).withColumn("till", F.lit(5)), "seq")
+    rows = {r.sku_id: (r.units_sold, r.channel, r.till) for r in tables.read("fact_sales").collect()}
+    assert rows == {"a": (9, "web", None), "b": (4, "web", 5), "c": (3, None, None)}
+    assert tables.watermark() is None
+
+
 def test_load_with_master_and_closed_dimensions(spark, tmp_path):
     (tmp_path / "a.csv").write_text(FILE_1)
     tables = SavedTables(spark, str(tmp_path / "t"))

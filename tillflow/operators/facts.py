@@ -58,26 +58,37 @@ def known_references(batch: DataFrame, dim_sku: DataFrame, dim_store: DataFrame)
 
 
 def latest_per_key(batch: DataFrame, order: str) -> DataFrame:
-    """One row per fact key: the last in file order."""
-    columns = [c for c in FACT_SALES.names if c in batch.columns]
-    return conform(keep_one(batch.select(*columns, order), FACT_KEY, order, "last"), FACT_SALES)
+    """One row per fact key: the last in file order. Columns beyond the layout stay."""
+    return conform(keep_one(batch, FACT_KEY, order, "last"), FACT_SALES)
 
 
 def merge_fact(current: DataFrame, latest: DataFrame,
                loaded_on: dt.date | None = None) -> DataFrame:
     """Incoming rows replace the measures of equal keys; new keys are added.
 
-    Both sides are unique by key. The date of first load stays.
+    Both sides are unique by key. The date of first load stays. Columns beyond the layout
+    are kept from either side; one that the incoming rows lack keeps its present values.
     """
+    current = conform(current, FACT_SALES)
+    added = {f.name: f.dataType for f in [*latest.schema, *current.schema]
+             if f.name not in FACT_SALES.names}
+
+    def widened(df: DataFrame) -> DataFrame:
+        return df.select(*FACT_SALES.names, *[
+            (F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c)
+            for c, kind in added.items()])
+
+    given = [*FACT_MEASURES, *[c for c in added if c in latest.columns]]
     values = {
         m: F.when(F.col("inc._here"), F.col(f"inc.{m}")).otherwise(F.col(f"cur.{m}"))
-        for m in FACT_MEASURES
+        for m in given
     }
+    values |= {c: F.col(f"cur.{c}") for c in added if c not in given}
     values["created_at"] = F.when(F.col("cur._here"), F.col("cur.created_at")).otherwise(
         F.coalesce(F.col("inc.created_at"), F.lit(loaded_on).cast("date"))
     )
-    return full_merge(conform(current, FACT_SALES), latest, FACT_KEY, values).select(
-        *FACT_SALES.names
+    return full_merge(widened(current), widened(latest), FACT_KEY, values).select(
+        *FACT_SALES.names, *added
     )
 
 

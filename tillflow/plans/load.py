@@ -16,6 +16,7 @@ from tillflow.operators.facts import (load_summary, newer_than, require_fact_col
                                       split_references, watermark_row)
 from tillflow.operators.transform import (REASON, accepted, rejected, require_populated,
                                           transform_sales)
+from tillflow.operators.validate import missing_columns, standard_columns
 from tillflow.schemas import DEFAULT_RETAILER_ID, POSITION
 from tillflow.session import scratch_path
 from tillflow.sources.tables import SavedTables
@@ -50,6 +51,9 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
     """
     spark = tables.spark
     loaded_on = loaded_at.date() if loaded_at else None
+    absent = missing_columns(standard_columns(raw))
+    if absent:   # before a default could stand in for them
+        raise ValueError(f"sales lack columns: {', '.join(absent)}")
     staged_path = scratch_path(spark, "batch")
     texts = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != order]))
     parsed = transform_sales(raw.withColumn(RAW_ROW, texts), retailer_id, keep_sign,
@@ -85,7 +89,7 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
         known, unknown = fresh, bad.limit(0)
     else:
         known, unknown = split_references(fresh, tables.read("dim_sku"), tables.read("dim_store"))
-    tables.upsert_fact(known, order, loaded_on)
+    tables.upsert_fact(known.drop(RAW_ROW), order, loaded_on)
     tables.set_watermark(watermark_row(known, loaded_at))
     skipped = 0 if process_type == "full" else good.count() - fresh.count()
 

@@ -1,7 +1,8 @@
 """Sales reports and issue flags.
 
-Every report is a lazy function of the fact, the dimensions it names and the report
-date ``as_of``. Date bounds are literals on the fact's partition column, so a saved
+Every report is a function of the fact, the dimensions it names and the report date
+``as_of``. Most are lazy; ``asp_analysis``, ``sku_velocity`` and ``problem_stores`` run jobs
+and write checkpoints when they are built. Date bounds are literals on the fact's partition column, so a saved
 fact is pruned to the months in question. No join carries a broadcast hint: the
 planner and AQE broadcast a side only when its measured size allows it.
 """

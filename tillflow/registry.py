@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillflow.functions.dates import ISO_DATE, parse_date
 from tillflow.functions.numbers import clean_number
@@ -21,7 +22,7 @@ from tillflow.schemas import DIM_SKU, DIM_STORE, conform, union_evolved
 from tillflow.session import scratch_path
 from tillflow.sources import order_lines as lines
 from tillflow.sources.report_files import save_reports
-from tillflow.sources.sales_files import map_master_columns, read_sales_csv
+from tillflow.sources.sales_files import map_master_columns, read_master_csv, read_sales_csv
 from tillflow.sources.tables import SavedTables
 from tillflow.streaming.landing import land_sales
 
@@ -102,6 +103,46 @@ def sales_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_sales_csv(spark, folder).drop("file_position")
 
 
+def _text_rows(spark: SparkSession, sf_dir: str, name: Column) -> DataFrame:
+    return lines.sale_lines(spark, sf_dir).select(
+        F.col("store_id").alias("STORE_NAME"), F.col("sku_id").alias("ITEM_CODE"),
+        name.alias("ITEM_NAME"), F.col("line_number"),
+        F.floor(F.col("order_number") / 20000).alias("file"))
+
+
+@query
+def sales_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files written as plain text: doubled quotes, backslashes and commas in quoted fields."""
+    folder = scratch_path(spark, "sales-quoted")
+    kind, item = F.col("line_number") % 4, F.col("item_name")
+    rows = _text_rows(spark, sf_dir, F.when(kind == 0, F.concat(item, F.lit(' 12" pan')))
+                      .when(kind == 1, F.concat(item, F.lit(" C:\\")))
+                      .when(kind == 2, F.concat(item, F.lit(', "large"'))).otherwise(item))
+    names = ["STORE_NAME", "ITEM_CODE", "ITEM_NAME"]
+    fields = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+              for c in names]
+    heads = rows.select("file").distinct().select(
+        "file", F.lit(0).alias("place"), F.lit(",".join(names)).alias("line"))
+    body = rows.select("file", F.lit(1).alias("place"), F.concat_ws(",", *fields).alias("line"))
+    heads.unionByName(body).repartition(8, "file").sortWithinPartitions("file", "place").select(
+        "file", "line").write.partitionBy("file").text(folder)
+    return read_sales_csv(spark, folder, recursiveFileLookup=True).drop("file_position")
+
+
+@query
+def sales_csv_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latin-1 files beside UTF-8 files that hold a replacement character."""
+    folder = scratch_path(spark, "sales-latin1")
+    odd = F.col("line_number") % 2 == 1
+    rows = _text_rows(spark, sf_dir, F.concat("item_name", F.when(odd, " Café").otherwise(
+        " Caf\ufffd é")))
+    for encoding, part in (("ISO-8859-1", rows.where(odd)), ("UTF-8", rows.where(~odd))):
+        part.drop("line_number", "file").write.csv(f"{folder}/{encoding}", header=True,
+                                                   encoding=encoding)
+    return read_sales_csv(spark, [f"{folder}/ISO-8859-1", f"{folder}/UTF-8"]).drop(
+        "file_position")
+
+
 @query
 def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lines.raw_sales(spark, sf_dir)
@@ -195,6 +236,13 @@ def dim_store_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.dim_store(spark, sf_dir), _batch(spark, sf_dir), LOADED_AT))
 
 
+@query
+def dim_store_from_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheet = map_master_columns(lines.store_sheet(spark, sf_dir)).where("store_id <> ''")
+    return _stamped(dimensions.merge_stores_from_master(
+        lines.dim_store(spark, sf_dir), sheet, "sheet_row", LOADED_AT))
+
+
 @query
 def dim_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged, _ = dimensions.upsert_dimension(
@@ -273,6 +321,23 @@ def upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read("fact_sales")
 
 
+@query
+def evolved_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved fact with one more column, after a batch without it and a batch with it."""
+    tables = SavedTables(spark, scratch_path(spark, "evolved"))
+    tables.create()
+    fact = lines.fact_sales(spark, sf_dir)
+    tables.write_days(fact.withColumn("channel", F.lit("store")))
+    more = fact.withColumns({"seq": F.lit(1), "units_sold": F.col("units_sold") + 1})
+    for batch in (more.where("promo_active"),
+                  more.where("not promo_active and stock_level = 0").withColumn(
+                      "channel", F.lit("web"))):
+        staged = scratch_path(spark, "batch")
+        batch.write.parquet(staged)
+        tables.upsert_fact(spark.read.parquet(staged), "seq", LOADED_AT.date())
+    return tables.read("fact_sales").drop("created_at")
+
+
 def _prepared(spark: SparkSession, sf_dir: str):
     tables = SavedTables(spark, scratch_path(spark, "load"))
     tables.create()
@@ -313,6 +378,23 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "loaded long, rejected long, skipped long")
 
 
+@query
+def loaded_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and names of all dimensions after a load with a master sheet read from a file."""
+    tables, raw = _prepared(spark, sf_dir)
+    folder = scratch_path(spark, "master")
+    lines.raw_master(spark, sf_dir).write.csv(folder, header=True)
+    master = read_master_csv(spark, folder).withColumn(ORDER, F.col("sheet_row").cast("int"))
+    load_sales(tables, raw, "7", master=master, order=ORDER, loaded_at=LOADED_AT)
+    names = {"dim_retailer": ("retailer_id", "retailer_name"), "dim_sku": ("sku_id", "sku_name"),
+             "dim_store": ("store_id", "store_name"), "dim_time": ("date", "day_name")}
+    parts = [tables.read(table).select(F.lit(table).alias("table_name"),
+                                       F.col(key).cast("string").alias("key"),
+                                       F.col(label).alias("label"))
+             for table, (key, label) in names.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored watermark after a batch and then an older one."""
@@ -339,11 +421,39 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read("fact_sales")
 
 
+@query
+def stream_landing_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Latin-1 file drop with accented store names, landed by the stream."""
+    root = scratch_path(spark, "stream")
+    tables = SavedTables(spark, f"{root}/tables")
+    tables.create()
+    sheet = lines.as_sales_file(lines.fact_sales(spark, sf_dir))
+    sheet.withColumn("STORE_NAME", F.concat(F.lit("Café "), "STORE_NAME")).write.csv(
+        f"{root}/landing", header=True, encoding="ISO-8859-1")
+    land_sales(tables, f"{root}/landing", f"{root}/progress",
+               loaded_at=LOADED_AT).awaitTermination()
+    return tables.read("fact_sales")
+
+
 @query
 def check_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return freshness(lines.fact_sales(spark, sf_dir), FRIDAY)
 
 
+@query
+def report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every report, all saved in one go over a saved star."""
+    tables = SavedTables(spark, scratch_path(spark, "star"))
+    tables.create()
+    star = lines.star_tables(spark, sf_dir)
+    tables.write_days(star.fact_sales)
+    tables.replace("dim_sku", star.dim_sku)
+    tables.replace("dim_store", star.dim_store)
+    counts = save_reports(reports.all_reports(tables.star(), AS_OF),
+                          scratch_path(spark, "reports"))
+    return spark.createDataFrame(list(counts.items()), "report string, rows long")
+
+
 @query
 def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report saved as CSV and read back."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillflow.operators.dimensions import seed_retailer
 from tillflow.operators.facts import WATERMARK, latest_per_key, merge_fact
@@ -12,6 +12,8 @@ from tillflow.schemas import TABLES, conform
 from tillflow.session import shared_folder
 
 FACT = "fact_sales"
+# The state row that names the fact's columns beyond its layout.
+ADDED = "added_fact_columns"
 
 
 class SavedTables:
@@ -25,7 +27,29 @@ class SavedTables:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(self.path(name))
+        return self.spark.read.schema(self.layout(name)).parquet(self.path(name))
+
+    def layout(self, name: str) -> T.StructType:
+        """The columns of a table: for the fact also those that later batches brought.
+
+        They are noted in the small state table, so no file of the fact is opened for them.
+        """
+        if name != FACT:
+            return TABLES[name]
+        noted = self.read("etl_metadata").filter(F.col("key") == ADDED).select("value").first()
+        added = T.StructType.fromDDL(noted.value).fields if noted else []
+        return T.StructType([*TABLES[FACT].fields, *added])
+
+    def _note_added(self, schema: T.StructType) -> None:
+        """Note new columns of the fact before files hold them; noted ones keep their type."""
+        held = self.layout(FACT)
+        if set(schema.names) <= set(held.names):
+            return
+        fields = [*held.fields, *[f for f in schema.fields if f.name not in held.names]]
+        text = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                         for f in fields[len(TABLES[FACT]):])
+        self.set_watermark(self.spark.createDataFrame([(ADDED, text, None)],
+                                                      TABLES["etl_metadata"]))
 
     def star(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
@@ -54,8 +78,10 @@ class SavedTables:
         write would delete every other day. Rebalancing splits a busy day over several
         tasks and files, and joins quiet days.
         """
+        rows = conform(rows, TABLES[FACT])
+        self._note_added(rows.schema)
         (
-            conform(rows, TABLES[FACT]).hint("rebalance", "date")
+            conform(rows, self.layout(FACT)).hint("rebalance", "date")
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("date").parquet(self.path(FACT))
         )
@@ -87,9 +113,10 @@ class SavedTables:
 
     def register(self, database: str) -> None:
         """Declare the saved tables in the catalog, so that views can name them."""
-        for name, schema in TABLES.items():
+        for name in TABLES:
             self.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                                for f in self.layout(name))
             parts = " PARTITIONED BY (date)" if name == FACT else ""
             self.spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet{parts} "
                            f"LOCATION '{self.path(name)}'")
