@@ -628,6 +628,9 @@ SELECT store_id AS STORE_NAME, sku_id AS ITEM_CODE,
        item_name || CASE line_number % 4 WHEN 0 THEN ' 12" pan' WHEN 1 THEN ' C:\\'
                          WHEN 2 THEN ', "large"' ELSE '' END AS ITEM_NAME
 FROM sale_lines"""
+ORACLES["sales_csv_headings"] = f"""WITH {SALE_LINES}
+SELECT store_id AS STORE_NAME, sku_id AS ITEM_CODE, item_name AS ITEM_CODE_2 FROM sale_lines"""
+ORACLES["saved_view"] = VIEWS["view_sales_summary"]
 ORACLES["sales_csv_latin1"] = f"""WITH {SALE_LINES}
 SELECT store_id AS STORE_NAME, sku_id AS ITEM_CODE,
        item_name || CASE line_number % 2 WHEN 1 THEN ' Café' ELSE ' Caf\ufffd é' END AS ITEM_NAME

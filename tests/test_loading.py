@@ -288,8 +288,9 @@ def test_stream_lands_like_batch(spark, tmp_path):
     stream.create(), batch.create()
     for name, text in (("a.csv", FILE_1), ("b.csv", FILE_2)):
         (landing / name).write_text(text)
-        land_sales(stream, str(landing), str(tmp_path / "progress"), retailer_id="9",
-                   loaded_at=T1).awaitTermination()
+        query = land_sales(stream, str(landing), str(tmp_path / "progress"), retailer_id="9",
+                           loaded_at=T1)
+        query.awaitTermination()
         load_sales(batch, read_sales_csv(spark, str(landing / name)), "9", loaded_at=T1,
                    process_type="full")
     ours, theirs = stream.read("fact_sales"), batch.read("fact_sales")
@@ -297,7 +298,7 @@ def test_stream_lands_like_batch(spark, tmp_path):
     assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
     assert stream.watermark() == batch.watermark() == D3
     kept = spark.read.parquet(stream.path("quarantine"))
-    assert kept.count() == 2 and "load_id" in kept.columns
+    assert {r.load_id for r in kept.collect()} == {f"stream-{query.id}-0"} and kept.count() == 2
     # Without a new file nothing happens.
     land_sales(stream, str(landing), str(tmp_path / "progress"), retailer_id="9",
                loaded_at=T2).awaitTermination()

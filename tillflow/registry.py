@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,7 +18,7 @@ from tillflow.operators.transform import accepted, transform_sales
 from tillflow.operators.validate import validation_stats
 from tillflow.plans import reports
 from tillflow.plans.load import load_sales
-from tillflow.plans.views import view_frame
+from tillflow.plans.views import create_views, view_frame
 from tillflow.schemas import DIM_SKU, DIM_STORE, conform, union_evolved
 from tillflow.session import scratch_path
 from tillflow.sources import order_lines as lines
@@ -92,6 +93,21 @@ QUERIES |= {
 }
 
 
+@query
+def saved_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view read by name from a catalog in which a saved star was declared."""
+    tables, star = SavedTables(spark, scratch_path(spark, "star")), lines.star_tables(spark, sf_dir)
+    tables.create()
+    tables.write_days(star.fact_sales)
+    for name in ("dim_store", "dim_sku", "dim_retailer", "dim_time"):
+        tables.replace(name, getattr(star, name))
+    database = f"retail_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    tables.register(database)
+    create_views(spark, database)
+    return spark.table(f"{database}.sales_summary_view")
+
+
 # Raw sales: reading, cleaning, validating
 
 @query
@@ -118,14 +134,27 @@ def sales_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _text_rows(spark, sf_dir, F.when(kind == 0, F.concat(item, F.lit(' 12" pan')))
                       .when(kind == 1, F.concat(item, F.lit(" C:\\")))
                       .when(kind == 2, F.concat(item, F.lit(', "large"'))).otherwise(item))
-    names = ["STORE_NAME", "ITEM_CODE", "ITEM_NAME"]
+    _write_text(rows, "STORE_NAME,ITEM_CODE,ITEM_NAME", folder)
+    return read_sales_csv(spark, folder, recursiveFileLookup=True).drop("file_position")
+
+
+def _write_text(rows: DataFrame, heading: str, folder: str) -> None:
+    """Quoted lines under a heading, written as plain text, one folder for each ``file``."""
     fields = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
-              for c in names]
+              for c in ("STORE_NAME", "ITEM_CODE", "ITEM_NAME")]
     heads = rows.select("file").distinct().select(
-        "file", F.lit(0).alias("place"), F.lit(",".join(names)).alias("line"))
+        "file", F.lit(0).alias("place"), F.lit(heading).alias("line"))
     body = rows.select("file", F.lit(1).alias("place"), F.concat_ws(",", *fields).alias("line"))
     heads.unionByName(body).repartition(8, "file").sortWithinPartitions("file", "place").select(
         "file", "line").write.partitionBy("file").text(folder)
+
+
+@query
+def sales_csv_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headings with a byte-order mark and blanks around them, and one that occurs twice."""
+    folder = scratch_path(spark, "sales-headings")
+    _write_text(_text_rows(spark, sf_dir, F.col("item_name")),
+                "\ufeffSTORE_NAME , ITEM_CODE,\tITEM_CODE ", folder)
     return read_sales_csv(spark, folder, recursiveFileLookup=True).drop("file_position")
 
 

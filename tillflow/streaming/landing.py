@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,6 +36,12 @@ def with_position(batch: DataFrame) -> DataFrame:
     return batch.withColumn(POSITION, position).drop(_FILE)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint. One made anew has another id, so its batch
+    numbers, which begin again, do not overwrite what earlier batches kept."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def land_sales(tables: SavedTables, folder: str, checkpoint: str,
                options: dict | None = None, max_files: int | None = None,
                **load_options) -> StreamingQuery:
@@ -50,10 +54,9 @@ def land_sales(tables: SavedTables, folder: str, checkpoint: str,
     limits = {"maxFilesPerTrigger": max_files} if max_files else {}
     stream = sales_file_stream(tables.spark, folder, **(options or {}), **limits)
 
-    label = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
-
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        load_sales(tables, with_position(batch), load_id=f"{label}-{batch_id}", **load_options)
+        label = f"stream-{stream_id(tables.spark, checkpoint)}-{batch_id}"
+        load_sales(tables, with_position(batch), load_id=label, **load_options)
 
     return (
         stream.writeStream.foreachBatch(load_batch)
