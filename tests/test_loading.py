@@ -303,3 +303,23 @@ def test_stream_lands_like_batch(spark, tmp_path):
     land_sales(stream, str(landing), str(tmp_path / "progress"), retailer_id="9",
                loaded_at=T2).awaitTermination()
     assert units(stream.read("fact_sales")) == units(ours)
+
+
+def test_a_far_date_does_not_stop_later_loads_without_loaded_at(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text(HEAD + "s1,a,5,50,9999-01-01,10,3,Y\ns1,a,5,50,2024-01-01,10,3,Y\n")
+    (tmp_path / "b.csv").write_text(FILE_2)
+    batch, stream = (SavedTables(spark, str(tmp_path / n)) for n in ("batch", "stream"))
+    batch.create(), stream.create()
+    assert load_sales(batch, read_sales_csv(spark, str(landing / "a.csv")), "9").loaded == 2
+    land_sales(stream, str(landing), str(tmp_path / "progress"), retailer_id="9").awaitTermination()
+    for tables in (batch, stream):
+        assert tables.watermark() == D1
+        result = load_sales(tables, read_sales_csv(spark, str(tmp_path / "b.csv")), "9")
+        assert (result.loaded, result.skipped) == (1, 1)
+        assert units(tables.read("fact_sales"))[("s3", "c", D3)] == 2
+        assert tables.watermark() == D3
+        # The clock bounds the mark and stamps nothing.
+        assert tables.read("fact_sales").where("created_at IS NOT NULL").isEmpty()
+        assert tables.read("etl_metadata").first().updated_at is None

@@ -92,14 +92,17 @@ def merge_fact(current: DataFrame, latest: DataFrame,
     )
 
 
-def watermark_row(batch: DataFrame, updated_at: dt.datetime | None = None) -> DataFrame:
+def watermark_row(batch: DataFrame, updated_at: dt.datetime | None = None,
+                  present: dt.datetime | None = None) -> DataFrame:
     """The state row after a batch: its latest date.
 
     Dates more than AHEAD after the load are left aside: sheets may be dated a little ahead,
-    but a mistyped year must not stop all later loads.
+    but a mistyped year must not stop all later loads. ``present`` is the time of the load
+    where no ``updated_at`` is to be stored; with neither, every date counts.
     """
-    if updated_at is not None:
-        batch = batch.where(F.col("date") <= F.lit(updated_at.date() + AHEAD))
+    loaded = updated_at or present
+    if loaded is not None:
+        batch = batch.where(F.col("date") <= F.lit(loaded.date() + AHEAD))
     return conform(
         batch.agg(F.max("date").alias("day")).filter(F.col("day").isNotNull()).select(
             F.lit(WATERMARK).alias("key"), F.col("day").cast("string").alias("value"),

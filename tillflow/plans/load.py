@@ -47,7 +47,8 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
     load does not keep them twice; rows that could not be parsed keep their texts as JSON in
     ``raw_row``. With ``add_unknown`` off, products and stores missing from the dimensions are
     rejected, not added. An incremental load counts the rows up to the watermark as skipped:
-    loaded, rejected and skipped rows add up to the batch.
+    loaded, rejected and skipped rows add up to the batch. Without ``loaded_at`` nothing is
+    stamped, and dates are held against the clock before they move the watermark.
     """
     spark = tables.spark
     loaded_on = loaded_at.date() if loaded_at else None
@@ -90,7 +91,7 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
     else:
         known, unknown = split_references(fresh, tables.read("dim_sku"), tables.read("dim_store"))
     tables.upsert_fact(known.drop(RAW_ROW), order, loaded_on)
-    tables.set_watermark(watermark_row(known, loaded_at))
+    tables.set_watermark(watermark_row(known, loaded_at, present=dt.datetime.now()))
     skipped = 0 if process_type == "full" else good.count() - fresh.count()
 
     rejects = bad.unionByName(unknown).select(*staged.columns)
