@@ -213,6 +213,22 @@ def test_near_duplicates(docs_of):
     assert near_dups.near_duplicates(docs_of([])).count() == 0
 
 
+def test_rows_with_one_id_are_told_apart(spark):
+    rng = np.random.default_rng(8)
+    t, y, z = (" ".join(f"w{x}" for x in rng.integers(0, 500, 60)) for _ in range(3))
+    rows = [(3, t), (5, t), (5, y), (5, z), (4, z), (6, y), (7, ""), (7, ""), (None, t), (None, t),
+            (8, "x y"), (8, "x y")]
+    docs = spark.createDataFrame([(k, x, n) for n, (k, x) in enumerate(rows)],
+                                 "doc_id long, text string, pos long").repartition(3)
+    kept = corpus_pipeline.dedup_documents(spark, docs, "").collect()
+    # The empty texts have no set, so they stay; T of the rows without an id, too.
+    expected = [(3, t), (5, y), (4, z), (7, ""), (7, ""), (None, t), (None, t), (8, "x y")]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in kept])) == sorted(map(str, expected))
+    assert all(rows[r.pos] == (r.doc_id, r.text) for r in kept)
+    found = near_dups.near_duplicates(docs).where("doc_id = 5").collect()
+    assert sorted((r.component_id, r.kept) for r in found) == [(3, False), (4, False), (5, True)]
+
+
 # 6
 
 def test_parts_become_placeholders(spark):

@@ -15,8 +15,10 @@ left, as copies of one text have long been joined.
 
 Defined results: null texts and texts without words have an empty set and link with nothing.
 Texts with fewer words than a shingle have their whole sequence as one. Rows without an id link
-with nothing and are kept, without a component. Repeated rows fall into one class. An empty
-table gives an empty result. Ties go to the smallest id; other columns are unused.
+with nothing and are kept, without a component. Rows are told apart by their number, not by
+their id: rows that share an id are linked by their own texts, and one row of each component is
+kept, that with the smallest id; of several such rows the one with the smallest set digest, then
+any. An empty table gives an empty result. Other columns are unused.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ EMPTY = np.uint16(0xFFFF)
 # size (Yu and Weber, HyperMinHash, 2017).
 CHANCE = 0.169919487159739
 STAR_ROUNDS = 3
-SIGNATURE = ("doc_id long, n_shingles long, digest binary, registers array<int>, "
+SIGNATURE = ("row long, doc_id long, n_shingles long, digest binary, registers array<int>, "
              "filled array<long>, bands array<long>")
 
 _random = np.random.default_rng(5)
@@ -180,18 +182,19 @@ def may_reach(threshold: float, a: str, b: str) -> Column:
     return sizes & (jaccard >= threshold - 5 * error)
 
 
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+def signatures(rows: DataFrame, shingle: int) -> DataFrame:
+    """SIGNATURE of (row, doc_id, text)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in SIGNATURE.split(", ")]
         for whole in batches:
-            for batch in slices(whole, 1):
-                texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            for batch in slices(whole, 2):
+                texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
                 sets = shingle_sets(texts, shingle)
                 regs = np.stack([registers(s) for s in sets])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    batch.column(0), batch.column(1),
+                    pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                               for s in sets], pa.binary()),
                     pa.array([tokens(r) for r in regs], pa.list_(pa.int32())),
@@ -239,6 +242,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): links at a similarity of ``percent`` or more."""
+    return linked_rows(docs.select("doc_id", "text"), percent, shingle)[1].drop("row")
+
+
+def without_copies(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
+    """The kept rows of ``docs`` with all their columns."""
+    rows, found = linked_rows(docs, percent, shingle)
+    copies = found.where(~F.col("kept")).select("row")
+    return rows.join(copies, "row", "left_anti").select("doc.*")
+
+
+def linked_rows(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """The written rows (row, doc) with their numbers, and what near_duplicates finds of each."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "near-dups")
     threshold = percent / 100
@@ -247,18 +262,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> Dat
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    signed = keep(signatures(docs, shingle), "signatures")
+    rows = keep(docs.select(F.monotonically_increasing_id().alias("row"),
+                            F.struct("*").alias("doc")), "rows")
+    texts = rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text")
+    signed = keep(signatures(texts, shingle), "signatures")
     linkable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = keep(linkable.groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
+        F.min(F.struct("doc_id", "row")).alias("first"), F.first("n_shingles").alias("n_shingles"),
         F.first("registers").alias("registers"), F.first("filled").alias("filled"),
-        F.first("bands").alias("bands")), "classes")
+        F.first("bands").alias("bands")).withColumn("id", F.col("first.row")), "classes")
     members = classes.select("id", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     buckets = keep(members.join(shared, "band"), "buckets")
     ids = buckets.select("id").distinct()
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(
-        ids, "id", "left_semi")
+    wanted = texts.select(F.col("row").alias("id"), "text").join(ids, "id", "left_semi")
     sets = keep(set_rows(wanted, shingle), "sets")
     parts = Components(spark)
 
@@ -292,10 +309,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> Dat
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     parts.add(verified(rest, sets, percent))
 
-    of_class = parts.label(classes.select("digest", "id"), "id", "component_id").select(
-        "digest", "component_id")
+    of_class = parts.label(classes.select("digest", "id", "first.doc_id"), "id", "comp")
+    heads = of_class.groupBy("comp").agg(
+        F.min(F.struct("doc_id", "digest", "id")).alias("head"))
+    of_class = keep(of_class.join(heads, "comp").select(
+        "digest", F.col("head.doc_id").alias("component_id"), F.col("head.id").alias("head")),
+        "components")
     found = signed.join(of_class, "digest", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    own = F.when(F.col("doc_id").isNotNull(), own)
-    return found.select("doc_id", "n_shingles", own.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    # Rows that link with nothing have no head, although their digest may be that of a class.
+    links = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    return rows, found.select(
+        "row", "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
+        (~links | (F.col("row") == F.col("head"))).alias("kept"))
