@@ -279,6 +279,24 @@ def test_top_k_with_ties_and_odd_vectors(spark):
     assert topk_nra.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_large_components_are_not_clamped(spark):
+    big = [2.0 ** 21, 2.0 ** 22, 3.0 * 2 ** 21, -(2.0 ** 23)]
+    vectors = [(k, [x, float(k % 3), -1.0]) for k, x in enumerate(big * 3)]
+    # Sums of products that pass the range of a long on the way to a score that does not.
+    vectors += [(100, [2.0 ** 24, 2.0 ** 24, 1.0]), (101, [2.0 ** 24, -(2.0 ** 24), 2.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = topk_nra.top_k(df, F.col("vec_id").isin(0, 3, 101)).collect()
+    whole = {k: [int(256 * x) for x in v] for k, v in vectors}
+    for q in (0, 3, 101):
+        ranked = sorted((-sum(a * b for a, b in zip(whole[q], v)), k)
+                        for k, v in whole.items() if k != q)[:5]
+        assert sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == q) == [
+            (n + 1, k, -s) for n, (s, k) in enumerate(ranked)]
+    far = spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="range of a long"):
+        topk_nra.top_k(far, F.col("vec_id") == 0).collect()
+
+
 # 8
 
 def test_edited_texts_and_likeness(spark, docs_of):

@@ -8,8 +8,9 @@ contribution the list has come down to. Reading stops when few candidates have a
 that reaches the k-th best lower bound: the others cannot qualify. The scores of those few are
 then resolved, and blocks are merged by score, ties to the smaller id.
 
-Defined results: components become floor(scale * x) of x as double, held within +-2**28 so that
-sums fit in a long. Vectors that are null or hold null or non-finite components take no part,
+Defined results: components become floor(scale * x) of x as double, as longs; where sums of
+products could pass the range of a long they are added as unbounded integers. A component or a
+score among the k best that is no long fails the query: it has no place in the result. Vectors that are null or hold null or non-finite components take no part,
 as rows without an id. Equal rows count once; a query never meets candidates of its own id, nor
 of another length. Fewer than k candidates give all of them; an empty table gives an empty
 result. Other columns are unused.
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillflow.session import scratch_path
 
-LIMIT = 1 << 28
+LONG = 1 << 63
 # Queries whose floor a task remembers; the floors only save reading.
 KNOWN_FLOORS = 100_000
 PACK = "dims int, block long, ids binary, vectors binary"
@@ -37,8 +38,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> Data
     """(vec_id, dims, v) with whole components; rows that take no part are left out."""
     x = F.col(vector_col)
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
-    whole = F.transform(x, lambda c: F.greatest(F.least(
-        F.floor(c.cast("double") * scale), F.lit(LIMIT)), F.lit(-LIMIT)).cast("int"))
+    def long_of(c: Column) -> Column:
+        scaled = c.cast("double") * scale
+        return F.when(F.abs(scaled) < float(LONG), F.floor(scaled)).otherwise(
+            F.raise_error(F.lit("a scaled component passes the range of a long")).cast("long"))
+
+    whole = F.transform(x, long_of)
     return vectors.where(x.isNotNull() & F.col(id_col).isNotNull()).where(finite).select(
         F.col(id_col).cast("long").alias("vec_id"), F.size(x).alias("dims"), whole.alias("v")
     ).dropDuplicates()
@@ -49,7 +54,9 @@ def packed_blocks(rows: DataFrame, block: Column) -> DataFrame:
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("vec_id")
-        matrix = np.array(part["v"].tolist(), np.int32).reshape(len(part), -1)
+        matrix = np.array(part["v"].tolist(), np.int64).reshape(len(part), -1)
+        if not matrix.size or np.array_equal(matrix, matrix.astype(np.int32)):
+            matrix = matrix.astype(np.int32)
         return pd.DataFrame({"dims": [part["dims"].iloc[0]], "block": [part["block"].iloc[0]],
                              "ids": [part["vec_id"].to_numpy(np.int64).tobytes()],
                              "vectors": [matrix.tobytes()]})
@@ -66,7 +73,9 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
         self.ids, self.matrix = ids, matrix
-        self.shares = matrix.astype(np.float64)
+        self.shares, self.largest = matrix.astype(np.float64), _largest(matrix)
+        # Per list, for what floats lose.
+        self.span = np.abs(self.shares).max(axis=0)
         self.rising = np.argsort(matrix, axis=0, kind="stable")
         self.place = np.empty(matrix.shape, np.int32)
         np.put_along_axis(self.place, self.rising, np.arange(len(ids), dtype=np.int32)[:, None], 0)
@@ -89,6 +98,9 @@ class SortedLists:
         whole, alive = share, np.flatnonzero(self.ids != own)
         least, share, place = at(whole, n), share[alive], place[alive]
         depth, step = 0, max(1, n // 8)
+        # What a bound may be off by: its sums have some dims terms of at most span * |query|.
+        unit = float(np.finfo(np.float64).eps)
+        slack = 16 * (len(query) + 2) * unit * float(self.span @ np.abs(query.astype(np.float64)))
         while len(alive) > max(k, enough) and depth < n:
             depth = min(n, depth + (step if depth else 2 * step))
             read = (place < depth).astype(np.float64)
@@ -98,17 +110,30 @@ class SortedLists:
             lower, upper = (known[:, None] + bounds.sum(axis=0) - read @ bounds).T
             reach = max(floor, np.partition(lower, -k)[-k])
             # A hair below, as the bounds are floats; scores are resolved as whole numbers.
-            stays = upper >= reach - 1e-6 * max(1.0, abs(reach))
+            stays = upper >= reach - slack - (4 * unit * abs(reach) if reach > -np.inf else 0)
             if not stays.all():
                 alive, share, place = alive[stays], share[stays], place[stays]
-        scores = self.matrix[alive] @ query
-        best = np.lexsort((self.ids[alive], -scores))[:k]
-        return [(int(scores[b]), int(self.ids[alive[b]])) for b in best]
+        rows, ids = self.matrix[alive], self.ids[alive]
+        if self.largest * _largest(query) * len(query) < LONG:
+            scores = rows @ query
+            best = np.lexsort((ids, -scores))[:k]
+            return [(int(scores[b]), int(ids[b])) for b in best]
+        scores = [sum(a * b for a, b in zip(r, query.tolist())) for r in rows.tolist()]
+        best = sorted(range(len(ids)), key=lambda b: (-scores[b], ids[b]))[:k]
+        if any(not -LONG <= scores[b] < LONG for b in best):
+            raise OverflowError("a score passes the range of a long")
+        return [(scores[b], int(ids[b])) for b in best]
+
+
+def _largest(whole: np.ndarray) -> int:
+    """The largest absolute value, as an unbounded integer."""
+    return max(int(whole.max()), -int(whole.min())) if whole.size else 0
 
 
-def _matrix(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(ids: bytes, vectors: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(vectors, np.int32).reshape(len(ids), -1).astype(np.int64)
+    kind = np.int64 if len(vectors) > 4 * dims * len(ids) else np.int32
+    return ids, np.frombuffer(vectors, kind).reshape(len(ids), -1).astype(np.int64)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
@@ -133,18 +158,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
         "dims", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     meeting = asked.join(candidates, ["dims", "block"]).select(
-        "block", "ids", "vectors", "query_ids", "queries").sortWithinPartitions("block")
+        "block", "ids", "vectors", "query_ids", "queries", "dims").sortWithinPartitions("block")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = lists = None
         floors: dict[tuple, float] = {}  # of each query, from the blocks of this task
         for batch in batches:
             for row in range(batch.num_rows):
-                block, ids, vecs, query_ids, queries = (c[row].as_py() for c in batch.columns)
+                block, ids, vecs, query_ids, queries, dims = (c[row].as_py() for c in batch.columns)
                 if last != (block, ids):
-                    last, lists = (block, ids), SortedLists(*_matrix(ids, vecs))
+                    last, lists = (block, ids), SortedLists(*_matrix(ids, vecs, dims))
                 found = []
-                for own, query in zip(*_matrix(query_ids, queries)):
+                for own, query in zip(*_matrix(query_ids, queries, dims)):
                     name = (int(own), query.tobytes())
                     best = lists.top(query, int(own), k, floors.get(name, -np.inf))
                     found += [(int(own), i, s) for s, i in best]
