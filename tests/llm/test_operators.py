@@ -297,6 +297,35 @@ def test_large_components_are_not_clamped(spark):
         topk_nra.top_k(far, F.col("vec_id") == 0).collect()
 
 
+@given(st.integers(0, 10_000), st.sampled_from([1, 3, 300, 2 ** 30]), st.integers(1, 6))
+@settings(max_examples=60, deadline=None)
+def test_lists_read_to_the_end_give_the_best(seed, scale, k):
+    rng = np.random.default_rng(seed)
+    n, dims = int(rng.integers(9, 120)), int(rng.integers(1, 8))
+    ids = rng.permutation(n) - n // 2
+    lists = topk_nra.SortedLists(ids, rng.integers(-scale, scale + 1, (n, dims)))
+    query = rng.integers(-scale, scale + 1, dims)
+    ranked = sorted((-int(lists.matrix[r] @ query), int(ids[r])) for r in range(n) if r)[:k]
+    expected = [(-s, i) for s, i in ranked]
+    assert lists.top(query, int(ids[0]), k, enough=8) == expected
+    # With a floor from an earlier block, the rows that reach it are still found.
+    floor = expected[len(expected) // 2][0]
+    found = lists.top(query, int(ids[0]), k, float(floor), enough=8)
+    assert [x for x in found if x[0] >= floor] == [x for x in expected if x[0] >= floor]
+
+
+def test_scores_wait_for_the_lists():
+    """Components that are not read are not looked at before the lists have left few rows."""
+    rng = np.random.default_rng(9)
+    matrix = rng.integers(-9, 10, (4000, 3))
+    matrix[:5] = 1000
+    lists = topk_nra.SortedLists(np.arange(4000), matrix)
+    expected = lists.top(np.array([1, 2, 3]), 4000, 5, enough=8)
+    lists.held[:, 1000:3000] = np.nan  # beyond the depth at which the bounds decide
+    assert lists.top(np.array([1, 2, 3]), 4000, 5, enough=8) == expected
+    assert expected == [(6000, i) for i in range(5)]
+
+
 # 8
 
 def test_edited_texts_and_likeness(spark, docs_of):

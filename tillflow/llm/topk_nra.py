@@ -30,6 +30,8 @@ from tillflow.session import scratch_path
 LONG = 1 << 63
 # Queries whose floor a task remembers; the floors only save reading.
 KNOWN_FLOORS = 100_000
+# With so few rows left in a block their scores are resolved and reading stops.
+ENOUGH = 64
 PACK = "dims int, block long, ids binary, vectors binary"
 FOUND = "query_id long, vec_id long, score long"
 
@@ -67,52 +69,56 @@ def packed_blocks(rows: DataFrame, block: Column) -> DataFrame:
 class SortedLists:
     """A candidate block: ids, matrix, and for every dimension the rows by rising component.
 
-    ``place`` holds each row's place in each list, so that the rows read down to some depth are
-    told by a comparison.
+    ``held`` has the components in that order. ``place`` holds each row's place in each list, so
+    that the rows read down to some depth are told by a comparison.
     """
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
-        self.ids, self.matrix = ids, matrix
-        self.shares, self.largest = matrix.astype(np.float64), _largest(matrix)
-        # Per list, for what floats lose.
-        self.span = np.abs(self.shares).max(axis=0)
-        self.rising = np.argsort(matrix, axis=0, kind="stable")
+        self.ids, self.matrix, self.largest = ids, matrix, _largest(matrix)
+        self.rising = np.argsort(matrix.T, axis=1, kind="stable")  # a row for each list
+        self.held = np.take_along_axis(matrix.T, self.rising, 1).astype(np.float64)
         self.place = np.empty(matrix.shape, np.int32)
-        np.put_along_axis(self.place, self.rising, np.arange(len(ids), dtype=np.int32)[:, None], 0)
+        np.put_along_axis(self.place, self.rising.T,
+                          np.arange(len(ids), dtype=np.int32)[:, None], 0)
+        # Per list, for what floats lose.
+        self.span = np.abs(self.held[:, [0, -1]]).max(axis=1)
 
     def top(self, query: np.ndarray, own: int, k: int, floor: float = -np.inf,
-            enough: int = 512) -> list[tuple[int, int]]:
+            enough: int = ENOUGH) -> list[tuple[int, int]]:
         """(score, id) of the k best rows, without the query's own id.
 
-        ``floor`` is a score that k rows of other blocks are known to reach.
+        ``floor`` is a score that k rows of other blocks are known to reach. Lists are read while
+        more than ``enough`` rows can qualify; the scores of the rest are then resolved.
         """
         n, columns = self.matrix.shape[0], np.arange(self.matrix.shape[1])
-        up = query > 0
-        share = self.shares * query
+        up, weights = query > 0, query.astype(np.float64)
         place = np.where(up, n - 1 - self.place, self.place)
 
-        def at(held: np.ndarray, depth: int) -> np.ndarray:
+        def at(depth: int) -> np.ndarray:
             """What the last row read of each list contributes at a depth."""
-            return held[np.where(up, self.rising[n - depth], self.rising[depth - 1]), columns]
+            return self.held[columns, np.where(up, n - depth, depth - 1)] * weights
 
-        whole, alive = share, np.flatnonzero(self.ids != own)
-        least, share, place = at(whole, n), share[alive], place[alive]
+        alive = np.flatnonzero(self.ids != own)
+        place, least = place[alive], at(n)
+        known = np.zeros(n)  # of the rows and lists read so far
         depth, step = 0, max(1, n // 8)
         # What a bound may be off by: its sums have some dims terms of at most span * |query|.
         unit = float(np.finfo(np.float64).eps)
-        slack = 16 * (len(query) + 2) * unit * float(self.span @ np.abs(query.astype(np.float64)))
+        slack = 16 * (len(query) + 2) * unit * float(self.span @ np.abs(weights))
         while len(alive) > max(k, enough) and depth < n:
-            depth = min(n, depth + (step if depth else 2 * step))
+            before, depth = depth, min(n, depth + (step if depth else 2 * step))
+            for side, part in ((up, slice(n - depth, n - before)), (~up, slice(before, depth))):
+                shares = self.held[side, part] * weights[side, None]
+                known += np.bincount(self.rising[side, part].ravel(), shares.ravel(), n)
             read = (place < depth).astype(np.float64)
-            known = np.einsum("ij,ij->i", share, read)
             # Unread lists give at least their last and at most their present contribution.
-            bounds = np.column_stack([least, at(whole, depth)])
-            lower, upper = (known[:, None] + bounds.sum(axis=0) - read @ bounds).T
+            bounds = np.column_stack([least, at(depth)])
+            lower, upper = (known[alive, None] + bounds.sum(axis=0) - read @ bounds).T
             reach = max(floor, np.partition(lower, -k)[-k])
             # A hair below, as the bounds are floats; scores are resolved as whole numbers.
             stays = upper >= reach - slack - (4 * unit * abs(reach) if reach > -np.inf else 0)
             if not stays.all():
-                alive, share, place = alive[stays], share[stays], place[stays]
+                alive, place = alive[stays], place[stays]
         rows, ids = self.matrix[alive], self.ids[alive]
         if self.largest * _largest(query) * len(query) < LONG:
             scores = rows @ query
