@@ -2,15 +2,17 @@
 
 Documents are cut into pieces of at most ``capacity`` tokens. Full pieces are sequences already.
 The others are dealt at random over partitions of bounded size, and each is packed by best-fit
-decreasing. Dual feasible functions give a lower bound of each partition's sequences: where the
-bound is met, no packing of the partition is better. While all partitions together need more
-than the bound of the whole, they exchange the documents of their unfilled sequences: these are
-dealt anew over partitions of twice the size, and the new packing is taken if it needs fewer
-sequences. That ends when the bound is met, when one partition is left, or after ``rounds``.
+decreasing. Dual feasible functions give a lower bound of each partition's sequences. A partition
+that meets its bound is certified: no packing of it is better, and it is settled, all but its
+emptiest sequence. Partitions with a gap keep their full sequences and exchange the documents of
+the others, together with those emptiest sequences: they are dealt anew and packed by best-fit
+decreasing again. That ends when all is settled, when the bound of everything left is met, when
+one partition is left, or when an exchange saves less than ``least_saving`` of its sequences; an
+exchange that saves none is dropped and the packing before it stands.
 
 Defined results: null and empty texts are one piece with the end token alone. Rows are packed
-one by one, repeated ones too. An empty table gives an empty result. Ties go by row number.
-Other columns are unused.
+one by one, repeated ones and those without an id too. An empty table gives an empty result.
+Ties go by row number. Other columns are unused.
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tillflow.llm.word_bpe import load, slices
+from tillflow.llm.word_bpe import BATCH, load, slices
 from tillflow.session import scratch_path
 
 PIECE_COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
-PACKED = "bin long, offset long, fill long, bins long, bound long"
+PACKED = "bin long, offset long, fill long, emptiest boolean, bins long, bound long"
+# Bits of a sequence id: exchanges, partitions and sequences of a partition.
+ROUND_BITS, GROUP_BITS, BIN_BITS = 5, 36, 22
 
 
 def cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, int, int, int]]:
@@ -44,7 +48,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0) ->
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, BATCH):
                 found = []
                 texts = batch.column(1).to_pylist()
                 for doc_id, ids in zip(batch.column(0).to_pylist(), bpe.encode_batch(texts)):
@@ -105,15 +109,28 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets
 
 
+def sequence_ids(number: int, group: Column, bin_: Column) -> Column:
+    """One id for each sequence of each partition of each exchange; none is given twice."""
+    if number >= 1 << ROUND_BITS:
+        raise ValueError(f"more than {1 << ROUND_BITS} exchanges")
+    base = F.lit(number).cast("long") * (1 << GROUP_BITS) + group
+    return base * (1 << BIN_BITS) + bin_
+
+
 def _pack_partitions(pool: DataFrame, groups: int, seed: int, capacity: int) -> DataFrame:
     names = ["uid", *PIECE_COLUMNS, "group"]
+    if groups >= 1 << GROUP_BITS:
+        raise ValueError(f"more than {1 << GROUP_BITS} partitions")
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("uid", ignore_index=True)
         sizes = rows["length"].to_numpy(np.int64)
         bins, offsets = best_fit_decreasing(sizes, capacity)
         fill = np.bincount(bins, weights=sizes).astype(np.int64)
-        return rows[names].assign(bin=bins, offset=offsets, fill=fill[bins], bins=len(fill),
+        if len(fill) > 1 << BIN_BITS:
+            raise ValueError(f"more than {1 << BIN_BITS} sequences in a partition")
+        return rows[names].assign(bin=bins, offset=offsets, fill=fill[bins],
+                                  emptiest=bins == fill.argmin(), bins=len(fill),
                                   bound=lower_bound(sizes, capacity))
 
     dealt = pool.select("uid", *PIECE_COLUMNS).withColumn(
@@ -123,48 +140,49 @@ def _pack_partitions(pool: DataFrame, groups: int, seed: int, capacity: int) ->
 
 
 def pack_pieces(pieces: DataFrame, capacity: int, partition_pieces: int = 20_000,
-                rounds: int = 4) -> DataFrame:
+                least_saving: float = 1e-4) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of (PIECE_COLUMNS)."""
     spark = pieces.sparkSession
     folder = scratch_path(spark, "packing")
     pieces.withColumn("uid", F.monotonically_increasing_id()).write.parquet(f"{folder}/pieces")
     pieces = spark.read.parquet(f"{folder}/pieces")
+    settled = [pieces.where(F.col("length") == capacity).select(
+        *PIECE_COLUMNS, (-F.col("uid") - 1).alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"))]
 
-    full = pieces.where(F.col("length") == capacity).select(
-        *PIECE_COLUMNS, (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    settled = [full]
-    pool = pieces.where(F.col("length") < capacity)
-    waiting = None  # the packing of the pool that a new deal has to better
-
-    def placed(rows: DataFrame, number: int) -> DataFrame:
-        base = (F.lit(number).cast("long") * (1 << 20) + F.col("group")) * (1 << 24)
-        return rows.select(*PIECE_COLUMNS, (base + F.col("bin")).alias("sequence_id"), "offset")
+    def settle(rows: DataFrame, number: int) -> None:
+        settled.append(rows.select(
+            *PIECE_COLUMNS, sequence_ids(number, F.col("group"), F.col("bin")).alias(
+                "sequence_id"), "offset"))
 
-    for number in range(rounds):
+    pool = pieces.where(F.col("length") < capacity)
+    waiting, held = None, 0   # the present packing of the pool, and its sequences
+    number = 0
+    while True:
         # At most one row for each length.
         count = np.zeros(capacity + 1, np.int64)
         for row in pool.groupBy("length").count().collect():
             count[row["length"]] = row["count"]
         if not count.sum():
             break
-        groups = int(-(-count.sum() // (partition_pieces << number)))
+        groups = int(-(-count.sum() // partition_pieces))
         _pack_partitions(pool, groups, number, capacity).write.parquet(f"{folder}/{number}")
         packed = spark.read.parquet(f"{folder}/{number}")
-        bins = packed.groupBy("group").agg(F.first("bins").alias("bins"))
-        total = bins.agg(F.sum("bins").alias("n")).first()["n"]
-        if waiting is not None and total >= waiting[1]:
-            if groups == 1:
-                break
-            continue  # the former packing stands; another deal is tried
-        waiting = (packed, total, number)
-        if groups == 1 or total <= bound_of_counts(count, capacity):
+        total = packed.groupBy("group").agg(F.first("bins").alias("bins")).agg(
+            F.sum("bins")).first()[0]
+        if waiting is not None and total >= held:
+            settle(waiting, number - 1)
+            break
+        slow = waiting is not None and held - total < least_saving * held
+        if groups == 1 or slow or total <= bound_of_counts(count, capacity):
+            settle(packed, number)
             break
-        settled.append(placed(packed.where(F.col("fill") == capacity), number))
-        pool = packed.where(F.col("fill") < capacity)
-        left = pool.select("group", "bin").distinct().count()
-        waiting = (pool, left, number)
-    if waiting is not None:
-        settled.append(placed(waiting[0], waiting[2]))
+        certified = F.col("bins") == F.col("bound")
+        done = (F.col("fill") == capacity) | (certified & ~F.col("emptiest"))
+        settle(packed.where(done), number)
+        waiting = pool = packed.where(~done)
+        held = pool.select("group", "bin").distinct().count()
+        number += 1
     result = settled[0]
     for part in settled[1:]:
         result = result.unionByName(part)

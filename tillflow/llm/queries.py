@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillflow.llm import (
-    bin_packing, chat_parts, line_crf, line_dedup, near_dups, order_minhash, topk_nra,
-    toxicity_fm, warc, word_bpe,
+    bin_packing, chat_parts, curve_packing, fp_search, line_crf, line_dedup, near_dups,
+    order_minhash, source_divergence, topk_nra, toxicity_fm, warc, word_bpe,
 )
 from tillflow.llm.labelled import remainder
 from tillflow.llm.twins import ORACLES
@@ -113,3 +113,22 @@ def op6_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_topk_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk_nra.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "source", "text")
+    return source_divergence.audit_sources(docs, least_docs=30, ranks=50)
+
+
+@query
+def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return curve_packing.pack_along_curve(docs, VOCABULARY)
+
+
+@query
+def op13_fp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return fp_search.rank_documents(docs, items)

@@ -106,3 +106,81 @@ ranked AS (
     FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+_LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_ALNUM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(pattern: str) -> str:
+    """All terms of a text, with A-Z lower-cased."""
+    return f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{pattern}')"
+
+
+ORACLES["op11_source_divergence"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           {_terms(_LETTERS)} AS terms
+    FROM documents),
+occurring AS (SELECT d, lang, source, unnest(terms) AS term FROM docs),
+counted AS (SELECT d, lang, source, term, count(*) AS c FROM occurring GROUP BY ALL),
+kept AS (SELECT lang, term FROM counted GROUP BY lang, term HAVING count(*) >= 30),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+    SELECT g.lang, g.source, k.term, CAST(coalesce(sum(c.c), 0) AS HUGEINT) AS c
+    FROM groups g JOIN kept k USING (lang)
+    LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    GROUP BY g.lang, g.source, k.term),
+shares AS (
+    SELECT lang, source, term, c, 1 + CAST((1000000000 * (c + 5))
+        // (sum(c) OVER (PARTITION BY lang, source) + 5 * v) AS BIGINT) AS p
+    FROM cells JOIN sizes USING (lang)),
+whole AS (SELECT lang, term, sum(c) AS c FROM cells GROUP BY lang, term),
+whole_shares AS (
+    SELECT lang, term, 1 + CAST((1000000000 * (c + 5))
+        // (sum(c) OVER (PARTITION BY lang) + 5 * v) AS BIGINT) AS q
+    FROM whole JOIN sizes USING (lang)),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+           CAST(coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y
+                          ON x.lang = y.lang AND x.term = y.term
+                          WHERE x.lang = a.lang AND x.source = a.source
+                            AND y.source = b.source), 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+tops AS (
+    SELECT lang, source, 'term' AS part, term AS item, p - q AS value
+    FROM shares JOIN whole_shares USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (
+        PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INT) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM tops))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLES["op13_fp_search"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id, {_terms(_ALNUM)} AS terms FROM documents),
+sized AS (SELECT d, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+asked AS (SELECT item_id, unnest({_terms(_ALNUM)}) AS term FROM benchmark),
+repeats AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL),
+occurring AS (SELECT d, unnest(terms) AS term FROM docs),
+counted AS (
+    SELECT d, term, count(*) AS tf FROM occurring
+    WHERE term IN (SELECT term FROM repeats) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(c.docs) + 2 AS DOUBLE)
+                                      / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counted, corpus c GROUP BY term),
+scored AS (
+    SELECT r.item_id, s.doc_id, s.d, CAST(sum(r.times * w.w * ((1000000000 * t.tf)
+        // (1000 * t.tf + 8 * (25 + (75 * s.n * c.docs) // c.terms)))) AS BIGINT) AS score
+    FROM repeats r JOIN counted t USING (term) JOIN weights w USING (term)
+    JOIN sized s ON s.d = t.d, corpus c
+    GROUP BY r.item_id, s.doc_id, s.d),
+ranked AS (
+    SELECT item_id, doc_id, score, CAST(row_number() OVER (
+        PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
