@@ -7,14 +7,15 @@ the turn's attachments. The template puts ``<s>[INST] .. </s>`` around user turn
 ``<s>[ASST] .. </s>`` around assistant turns and ``<s>[ROLE:name] .. </s>`` around others. All
 its control strings begin with ``<`` or ``[``; in texts and names these become ``\\l`` and
 ``\\b``, and ``\\`` becomes ``\\\\``, so no text can imitate a control string and all of it comes
-back. The loss mask covers the body of assistant turns.
+back. In names, which end at ``]``, that one becomes ``\\r``. The loss mask covers the body of
+assistant turns.
 
 Formatting works turn by turn in built-in functions; a conversation is its segments in order,
 with nothing between. Reading back streams the segments of a partition, sorted by
 conversation, so even a conversation with a large part of all rows needs little memory.
 
 Defined results: null texts, roles and parts are empty; rows of a conversation are ordered by
-turn (nulls last), then role, then text, and repeated rows stay; a null conv_id is one
+turn (nulls last), then role, then formatted text, and repeated rows stay; a null conv_id is one
 conversation; an empty table gives an empty result. Unknown kinds count as documents. Other
 columns are unused.
 """
@@ -34,13 +35,14 @@ USER, ASSISTANT = "[INST] ", "[ASST] "
 DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
            "loss_sha256 string, formatted_chars long")
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-_PLAIN = {"\\": "\\", "l": "<", "b": "["}
+_PLAIN = {"\\": "\\", "l": "<", "b": "[", "r": "]"}
 _PLACEHOLDER = re.compile(r"\[(\w+):(\d+):(\d+)\]")
 
 
-def escape(text: Column) -> Column:
+def escape(text: Column, name: bool = False) -> Column:
     text = F.coalesce(text, F.lit(""))
-    for plain, safe in (("\\", "\\\\"), ("<", "\\l"), ("[", "\\b")):
+    marks = [("\\", "\\\\"), ("<", "\\l"), ("[", "\\b"), *[("]", "\\r")] * name]
+    for plain, safe in marks:
         text = F.replace(text, F.lit(plain), F.lit(safe))
     return text
 
@@ -110,7 +112,7 @@ def format_turns(turns: DataFrame, visitor: PartVisitor | None = None) -> DataFr
         visitor.attachments(parts).alias("attachments"))
     mine = F.col("role") == "assistant"
     head = F.when(F.col("role") == "user", F.lit(USER)).when(mine, F.lit(ASSISTANT)).otherwise(
-        F.concat(F.lit("[ROLE:"), escape(F.col("role")), F.lit("] ")))
+        F.concat(F.lit("[ROLE:"), escape(F.col("role"), name=True), F.lit("] ")))
     start = F.lit(len(OPEN + ASSISTANT))
     return rows.select(
         "conv_id", "turn", "role", F.concat(F.lit(OPEN), head, "body", F.lit(CLOSE)).alias("formatted"),

@@ -16,13 +16,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, fit_on: Co
                   per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(label, text) of at most ``per_class`` documents of each label, drawn by a hash of the id.
 
-    Only the labels are sorted; the drawn ids, at most twice ``per_class``, are broadcast, so
-    the documents are scanned once and never shuffled.
+    Only the labels are sorted; the drawn ids, at most twice ``per_class``, meet the documents in
+    one scan. Of the rows that share an id one is taken, that whose text has the least hash, so
+    the bound holds for rows, too; the others are let go before anything is shuffled.
     """
     known = labels.where(fit_on & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
     drawn = [known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_class)
              for label in (0, 1)]
-    drawn = F.broadcast(reduce(DataFrame.unionByName, drawn))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(drawn, "id").select("label", "text")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    met = texts.join(reduce(DataFrame.unionByName, drawn), "id")
+    order = F.struct(F.xxhash64("text"), "text")
+    return met.groupBy("id", "label").agg(F.min_by("text", order).alias("text")).select(
+        "label", "text")

@@ -7,8 +7,9 @@ weighted by line length in bytes. All lines of a batch are handled in flat array
 sums over byte classes, the chain by steps that take the next line of every document at once.
 
 Fitting: at most ``per_class`` labelled documents of each class, drawn by a hash of the id; the
-lines of a document carry its label. Their features go to the driver, in chains of at most
-``CHAIN`` lines, so that long documents are used whole.
+lines of a document carry its label. Documents are cut into chains of at most ``CHAIN`` lines.
+The features of at most ``chains`` chains go to the driver: first one of each document, then
+others, all drawn by hash, so the driver holds ``chains * CHAIN`` lines at most.
 
 Defined results: null and empty texts are one empty line and get its score. If a class has no
 row to learn from, every score is 0.5. Repeated rows score alike. Other columns stay; one named
@@ -17,6 +18,7 @@ like an added column is replaced.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -172,31 +174,41 @@ def texts_of(column: pa.Array) -> list[bytes]:
 
 
 def feature_rows(rows: DataFrame) -> DataFrame:
-    """(label, lines, features) of (label, text): float32 rows of chains of at most CHAIN lines."""
+    """(label, lines, features, further, draw) of (label, text): float32 rows of each chain.
+
+    ``further`` is 0 for one chain of each text and 1 for the others, ``draw`` a hash.
+    """
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1):
-                features, _, lines = line_features(texts_of(batch.column(1)))
+                texts = texts_of(batch.column(1))
+                features, _, lines = line_features(texts)
                 at, found = 0, []
-                for label, n in zip(batch.column(0).to_pylist(), lines.tolist()):
-                    for a in range(at, at + n, CHAIN):
-                        part = features[a:min(a + CHAIN, at + n)].astype(np.float32)
-                        found.append((label, len(part), part.tobytes()))
+                for label, text, n in zip(batch.column(0).to_pylist(), texts, lines.tolist()):
+                    code, parts = zlib.crc32(text), -(-n // CHAIN)
+                    for part in range(parts):
+                        a = at + part * CHAIN
+                        chain = features[a:min(a + CHAIN, at + n)].astype(np.float32)
+                        found.append((label, len(chain), chain.tobytes(),
+                                      int(part != code % parts),
+                                      zlib.crc32(part.to_bytes(8, "little"), code)))
                     at += n
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*found),
-                                                    (pa.int32(), pa.int32(), pa.binary()))],
-                    ["label", "lines", "features"])
+                    [pa.array(c, t) for c, t in zip(zip(*found), kinds)],
+                    ["label", "lines", "features", "further", "draw"])
 
     return rows.select("label", "text").mapInArrow(
-        chains, "label int, lines int, features binary")
+        chains, "label int, lines int, features binary, further int, draw long")
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_on: Column, label_col: str = "quality",
-        per_class: int = 1500) -> LineCrf | None:
+        per_class: int = 1500, chains: int = 5000) -> LineCrf | None:
     """Learn from the labelled rows where ``fit_on``; None if a class has none."""
-    rows = feature_rows(training_rows(docs, labels, label_col, fit_on, per_class)).collect()
+    found = feature_rows(training_rows(docs, labels, label_col, fit_on, per_class))
+    rows = found.orderBy("further", "draw").limit(chains).select(
+        "label", "lines", "features").collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["features"])))
     truth = np.array([r["label"] for r in rows])
     if len(set(truth.tolist())) < 2:

@@ -182,17 +182,25 @@ def pair_sums(cells: DataFrame, groups: DataFrame) -> DataFrame:
     places = numbered.select("lang", "source", "number", "p0", "kept", "sources")
     blocks = F.ceil(F.col("sources") / SOURCES).cast("int")
     own = F.floor(F.col("number") / SOURCES).cast("int")
-    tiles = cells.join(places, ["lang", "source"]).select(
+    entries = cells.join(places, ["lang", "source"]).select(
         "lang", "term", "p", "p0", "number", own.alias("own"),
         F.pmod(F.xxhash64("term"), F.ceil(F.col("kept") / TERMS)).alias("slice"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
         "lang", "slice", F.least("own", "other").alias("low"),
         F.greatest("own", "other").alias("high"), "term", "number", "p", "p0")
+    # Sources of a tile without any of its terms have shares there, too: a row without a term.
+    keys = entries.select("lang", "slice", "low", "high").distinct().withColumn(
+        "own", F.explode(F.array_distinct(F.array("low", "high"))))
+    members = keys.join(places.select("lang", own.alias("own"), "number", "p0"), ["lang", "own"])
+    tiles = entries.unionByName(members.select(
+        "lang", "slice", "low", "high", F.lit(None).cast("string").alias("term"), "number",
+        F.col("p0").alias("p"), "p0"))
 
     def differences(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         lang, _, low, high = key
         base = rows.groupby("number")["p0"].first()
         numbers = base.index.to_numpy()
+        rows = rows[rows["term"].notna()]
         term, terms = pd.factorize(rows["term"])
         shares = np.tile(base.to_numpy(np.int64)[:, None], len(terms))
         shares[np.searchsorted(numbers, rows["number"]), term] = rows["p"]

@@ -6,9 +6,12 @@ the set of its buckets. The score is the logistic of bias + sum of w_i + sum ove
 of a group, that weights of single terms miss.
 
 Fitting: document frequencies of the buckets are counted with Spark over a drawn sample of at
-most ``per_class`` labelled rows of each class; the ``terms`` buckets whose frequencies differ
-most between the classes keep a weight. The sample's vectors over these buckets, at most
-2 * per_class * terms, are fitted on the driver.
+most ``per_class`` labelled rows of each class. Two kinds of buckets keep a weight: the ``terms``
+whose frequencies differ most between the classes, and those of the ``pairs`` pairs whose
+covariance differs most, and by over LEAST_SCORE standard errors, between the classes. Pairs are
+looked for among the ``frequent`` most frequent buckets, so a combination counts even where its
+members alone say nothing. The sample's vectors over these buckets are fitted on the driver: at
+most 2 * per_class * (terms + frequent) cells.
 
 Defined results: null and empty texts have no terms and get the score of the bias. If a class
 has no row to learn from, every score is 0.5. Rows are scored one by one, repeated ones alike.
@@ -30,6 +33,8 @@ from tillflow.llm.labelled import training_rows
 from tillflow.llm.word_bpe import slices
 
 BUCKETS = 1 << 20
+# Of half a million pairs without any effect, none is expected beyond this many standard errors.
+LEAST_SCORE = 6.0
 WORD = re.compile(r"\w+")
 _known: dict[str, int] = {}
 
@@ -72,11 +77,36 @@ class FactorizationMachine:
         pairs = (x @ self.factors) ** 2 - x @ self.factors ** 2
         return self.bias + x @ self.weights + 0.5 * pairs.sum(axis=1)
 
-    def score_terms(self, buckets: set[int], place: dict[int, int]) -> float:
-        at = [place[b] for b in buckets if b in place]
-        v = self.factors[at]
-        z = self.bias + self.weights[at].sum() + 0.5 * (v.sum(0) ** 2 - (v ** 2).sum(0)).sum()
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    def score(self, sets: list[set[int]]) -> np.ndarray:
+        """Probabilities of texts given as their buckets, all in flat arrays."""
+        place = np.full(BUCKETS, -1, np.int32)
+        place[self.buckets] = np.arange(len(self.buckets))
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        flat = np.fromiter((b for s in sets for b in s), np.int64, sizes.sum())
+        at, row = place[flat], np.repeat(np.arange(len(sets)), sizes)
+        at, row = at[at >= 0], row[at >= 0]
+        add = lambda values: np.bincount(row, values, len(sets))
+        z = self.bias + add(self.weights[at])
+        for v in self.factors.T:
+            z += 0.5 * (add(v[at]) ** 2 - add(v[at] ** 2))
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def telling_pairs(x: np.ndarray, y: np.ndarray, pairs: int) -> np.ndarray:
+    """Columns of the pairs whose covariance differs most between the classes."""
+    covariance, error = 0.0, 0.0
+    for label, sign in ((1, 1.0), (0, -1.0)):
+        rows = x[y == label]
+        mean = rows.mean(axis=0)
+        covariance = covariance + sign * (rows.T @ rows / len(rows) - np.outer(mean, mean))
+        spread = mean * (1 - mean)
+        # At least the error of a single row, so that rare pairs do not seem certain.
+        error = error + (np.outer(spread, spread) + 1 / len(rows)) / len(rows)
+    score = np.triu(np.abs(covariance) / np.sqrt(error), 1)
+    flat = score.ravel()
+    best = np.argsort(-flat, kind="stable")[:pairs]
+    best = best[flat[best] > LEAST_SCORE]
+    return np.unique(np.concatenate(np.unravel_index(best, score.shape)))
 
 
 def train(x: np.ndarray, y: np.ndarray, rank: int = 8, steps: int = 250, rate: float = 0.05,
@@ -106,7 +136,8 @@ def train(x: np.ndarray, y: np.ndarray, rank: int = 8, steps: int = 250, rate: f
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_on: Column, label_col: str = "toxic",
-        per_class: int = 4000, terms: int = 512, rank: int = 8) -> FactorizationMachine | None:
+        per_class: int = 4000, terms: int = 512, rank: int = 8, frequent: int = 1024,
+        pairs: int = 128) -> FactorizationMachine | None:
     """Learn from the labelled rows where ``fit_on``; None if a class has none."""
     sample = bucket_rows(training_rows(docs, labels, label_col, fit_on, per_class)).checkpoint()
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
@@ -118,15 +149,26 @@ def fit(docs: DataFrame, labels: DataFrame, fit_on: Column, label_col: str = "to
     p = (F.col("df0") + F.col("df1") + 1) / (n[0] + n[1] + 2)
     contrast = (F.col("df1") / n[1] - F.col("df0") / n[0]) / F.sqrt(
         p * (1 - p) * (1 / n[0] + 1 / n[1]))
-    chosen = [r["bucket"] for r in seen.orderBy(F.abs(contrast).desc(), "bucket").limit(
-        terms).select("bucket").collect()]
-    buckets = np.array(sorted(chosen), np.int64)
-    kept = F.array_intersect("buckets", F.lit(buckets.tolist()).cast("array<int>"))
-    rows = sample.select("label", kept.alias("buckets")).collect()
-    x = np.zeros((len(rows), len(buckets)), np.float32)
-    for k, row in enumerate(rows):
-        x[k, np.searchsorted(buckets, row["buckets"])] = 1
-    bias, w, v = train(x, np.array([r["label"] for r in rows]), rank)
+
+    def first(order: Column, limit: int) -> np.ndarray:
+        rows = seen.orderBy(order.desc(), "bucket").limit(limit).select("bucket").collect()
+        return np.array(sorted(r["bucket"] for r in rows), np.int64)
+
+    alone, common = first(F.abs(contrast), terms), first(p, frequent)
+    known = np.union1d(alone, common)
+    kept = F.array_intersect("buckets", F.lit(known.tolist()).cast("array<int>"))
+    rows = sample.select("label", F.array_sort(kept).alias("buckets")).toArrow()
+    y = rows.column("label").to_numpy()
+    lists = rows.column("buckets").combine_chunks()
+    x = np.zeros((len(y), len(known)), np.float32)
+    size = np.diff(np.asarray(lists.offsets))
+    x[np.repeat(np.arange(len(y)), size), np.searchsorted(known, lists.flatten())] = 1
+    # Sums of floats depend on the order of the rows, which the scan does not fix.
+    order = np.lexsort([*np.packbits(x.astype(bool), axis=1).T, y])
+    x, y = x[order], y[order]
+    of_pairs = telling_pairs(x[:, np.isin(known, common)], y, pairs)
+    buckets = np.union1d(alone, common[of_pairs])
+    bias, w, v = train(x[:, np.isin(known, buckets)], y, rank)
     return FactorizationMachine(buckets, bias, w, v)
 
 
@@ -137,14 +179,13 @@ def score_texts(docs: DataFrame, model: FactorizationMachine | None, text_col: s
     columns = [*kept, text_col] if text_col not in kept else kept
     source, text = docs.select(*columns), columns.index(text_col)
     schema = T.StructType([docs.schema[c] for c in kept]).add(name, T.DoubleType(), False)
-    place = {} if model is None else {int(b): k for k, b in enumerate(model.buckets)}
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, text):
                 texts = batch.column(text).to_pylist()
-                scores = [0.5 if model is None else model.score_terms(term_buckets(t), place)
-                          for t in texts]
+                scores = (np.full(len(texts), 0.5) if model is None
+                          else model.score([term_buckets(t) for t in texts]))
                 out = {c: batch.column(k) for k, c in enumerate(kept)}
                 yield pa.RecordBatch.from_pydict(out | {name: pa.array(scores, pa.float64())})
 
