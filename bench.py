@@ -59,18 +59,20 @@ def main() -> None:
 
     seconds["build_star"] = timed(build)
 
-    saved = tables.star()
+    saved = tables.star_with_totals()
     fact, sku, store = saved["fact_sales"], saved["dim_sku"], saved["dim_store"]
+    days, day_stores = saved["fact_days"], saved["fact_day_stores"]
     as_of = lines.AS_OF
     queries = {
-        "kpi_sales_summary": lambda: reports.sales_summary(fact, as_of),
-        "kpi_sales_growth_mom": lambda: reports.sales_growth_mom(fact, as_of),
+        "kpi_sales_summary": lambda: reports.sales_summary_of_days(days, as_of),
+        "kpi_sales_growth_mom": lambda: reports.sales_growth_mom(days, as_of),
         "kpi_asp_analysis": lambda: reports.asp_analysis(fact, as_of),
-        "kpi_numeric_distribution": lambda: reports.numeric_distribution(fact, as_of),
+        "kpi_numeric_distribution": lambda: reports.numeric_distribution_of_days(
+            day_stores, as_of),
         "kpi_promo_uplift": lambda: reports.promo_uplift(fact, as_of),
         "kpi_sku_velocity": lambda: reports.sku_velocity(fact, as_of),
         "kpi_problem_stores": lambda: reports.problem_stores(fact, store, as_of),
-        "flag_stockouts": lambda: reports.stockouts(fact, sku, store),
+        "flag_stockouts": lambda: reports.stockouts(fact, sku, store, days),
         "flag_dead_stock": lambda: reports.dead_stock(fact, sku, store, as_of),
         "flag_promo_gaps": lambda: reports.promo_gaps(fact, sku, store, as_of),
     }

@@ -675,3 +675,95 @@ SELECT count(*) FILTER (fresh AND known) AS loaded,
          + (SELECT count(*) FROM transformed WHERE reject_reason IS NOT NULL) AS rejected,
        count(*) FILTER (NOT fresh) AS skipped
 FROM checked"""
+
+ORACLES["day_totals"] = f"""{FACT_ONLY}
+SELECT date, count(*) AS fact_rows, count(DISTINCT store_id) AS store_count,
+       count(DISTINCT sku_id) AS sku_count, CAST(sum(units_sold) AS BIGINT) AS total_units_sold,
+       CAST(sum(sales_value) AS DECIMAL(22,2)) AS total_sales_value,
+       CAST(coalesce(sum(units_sold) FILTER (promo_active), 0) AS BIGINT) AS promo_units_sold,
+       CAST(coalesce(sum(sales_value) FILTER (promo_active), 0) AS DECIMAL(22,2))
+         AS promo_sales_value
+FROM fact_sales GROUP BY date"""
+for _name in ("kpi_sales_summary", "kpi_sales_growth_mom", "kpi_numeric_distribution",
+              "flag_stockouts"):
+    ORACLES[f"{_name}_days"] = REPORTS[_name]
+ORACLES["kpi_numeric_distribution_days_part"] = part_grain(REPORTS["kpi_numeric_distribution"])
+ORACLES["evolved_dimension"] = f"""{BATCH_DIMS}, {MASTER}, late AS (
+  SELECT * FROM master WHERE sheet_row % 2 = 0
+  QUALIFY row_number() OVER (PARTITION BY sku_id ORDER BY sheet_row) = 1
+), merged AS (
+  SELECT coalesce(d.sku_id, i.sku_id) AS sku_id,
+         coalesce(l.sku_name, i.sku_name, d.sku_name) AS sku_name,
+         coalesce(CAST(l.sheet_row AS BIGINT) * 10000000000, i.sheet_row) AS shelf
+  FROM dim_sku d FULL JOIN first_rows i ON i.sku_id = d.sku_id
+       LEFT JOIN late l ON l.sku_id = i.sku_id
+)
+SELECT * FROM merged
+UNION ALL SELECT DISTINCT sku_id, 'Unknown SKU', CAST(NULL AS BIGINT) FROM batch
+WHERE sku_id NOT IN (SELECT sku_id FROM merged)"""
+ORACLES["watermark_withdrawn"] = f"""{BATCH} SELECT 'last_processed_date' AS key,
+       CAST(max(date) AS VARCHAR) AS value FROM batch WHERE date <= DATE '1999-01-31'"""
+ORACLES["catalog_listing"] = """
+SELECT 'dim_' || t AS table_name, CAST(n AS INTEGER) AS ordinal, c AS column_name, k AS data_type
+FROM (VALUES ('retailer', 1, 'retailer_id', 'string'), ('retailer', 2, 'retailer_name', 'string'),
+             ('retailer', 3, 'created_at', 'date'), ('time', 1, 'date', 'date'),
+             ('time', 2, 'day_of_week', 'int'), ('time', 3, 'day_name', 'string'),
+             ('time', 4, 'week_number', 'int'), ('time', 5, 'month_number', 'int'),
+             ('time', 6, 'month_name', 'string'), ('time', 7, 'quarter', 'int'),
+             ('time', 8, 'year', 'int'), ('time', 9, 'is_weekend', 'boolean')) AS v(t, n, c, k)"""
+ORACLES["load_validation"] = ORACLES["validate_sales"]
+_TIDY = """array_to_string(list_transform(
+         regexp_extract_all(lower(trim(regexp_replace({}, '\\s+', ' ', 'g'))),
+                            '[a-z]+|[^a-z]+'), lambda w: upper(w[1]) || w[2:]), '')"""
+ORACLES["loaded_products"] = f"""WITH {RAW}, {transformed()}, fed AS (
+  SELECT t.sku_id, t.order_number, t.line_number, t.f_store, t.f_sku, t.f_date, t.quantity,
+         t.value, r.ITEM_NAME, r.CATEGORY AS category
+  FROM batch t JOIN (
+    SELECT order_number AS o, line_number AS l, store_id AS s, sku_id AS k, date AS d,
+           quantity AS q, value AS v, ITEM_NAME, CATEGORY FROM raw_sales) r
+    ON o = t.order_number AND l = t.line_number AND s = t.f_store AND k = t.f_sku
+       AND d = t.f_date AND q = t.quantity AND v = t.value
+  QUALIFY row_number() OVER (PARTITION BY t.sku_id ORDER BY {FEED_ORDER}) = 1
+)
+SELECT sku_id, coalesce(nullif({_TIDY.format('ITEM_NAME')}, ''), 'Unknown SKU') AS sku_name,
+       coalesce(nullif(trim(category), ''), 'Unknown') AS category,
+       nullif(regexp_extract(ITEM_NAME,
+         '(?i)(\\d+\\s*(?:g|kg|ml|l|oz|lb|pcs?|pack|pk|ct))', 1), '') AS pack_size,
+       'Unknown' AS brand
+FROM fed"""
+ORACLES["required_columns"] = """
+SELECT c AS column_name, c = 'QTY' AS missing, (SELECT count(*) FROM lineitem) AS rows
+FROM (VALUES ('STORE_ID'), ('ITEM_CODE'), ('QTY'), ('SALES_AMOUNT'), ('DATE')) AS v(c)"""
+ORACLES["column_population"] = f"WITH {RAW}, {transformed()} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS filled FROM transformed"
+    for c in [*FACT_COLUMNS.split(", "), "reject_reason"])
+ORACLES["calendar_gaps"] = f"""WITH {SALE_LINES}, near AS (
+  SELECT date FROM sale_lines WHERE order_number % 1000 <> 0
+), {calendar('near')}
+SELECT date, day_name, false AS far FROM dim_time
+UNION ALL SELECT DATE '9999-01-01', dayname(DATE '9999-01-01'), true
+WHERE EXISTS (SELECT 1 FROM sale_lines WHERE order_number % 1000 = 0)"""
+ORACLES["sales_csv_ragged"] = f"""{FACT_ONLY}, sheet AS (
+  SELECT store_id, sku_id, CAST(units_sold AS VARCHAR) AS units,
+         CAST(sales_value AS VARCHAR) AS value, CAST(date AS VARCHAR) AS date, day(date) AS d
+  FROM fact_sales
+)
+SELECT store_id AS STORE_NAME, sku_id AS ITEM_CODE, units AS QTY,
+       CASE WHEN d <> 5 THEN value END AS SALES_PRE_VAT, CASE WHEN d <> 5 THEN date END AS "Date",
+       CASE d WHEN 3 THEN concat_ws(',', store_id, sku_id, units, value, date, 'x')
+              WHEN 5 THEN concat_ws(',', store_id, sku_id, units) END AS ragged_line
+FROM sheet"""
+ORACLES["load_ragged_counts"] = f"""{FACT_ONLY}, sheet AS (
+  SELECT day(date) IN (3, 5) AS ragged, length(CASE day(date)
+           WHEN 3 THEN concat_ws(',', store_id, sku_id, units_sold, sales_value, date, 'x')
+           WHEN 5 THEN concat_ws(',', store_id, sku_id, units_sold) END) AS size
+  FROM fact_sales
+)
+SELECT count(*) FILTER (NOT ragged) AS loaded, count(*) FILTER (ragged) AS rejected,
+       count(*) FILTER (ragged) AS ragged, CAST(max(size) AS INTEGER) AS longest
+FROM sheet"""
+ORACLES["discovered_files"] = f"""{FACT_ONLY}
+SELECT CAST(0 AS INTEGER) AS run, count(*) FILTER (date <= DATE '1999-01-31') AS loaded
+FROM fact_sales
+UNION ALL SELECT 1, count(*) FILTER (date > DATE '1999-01-31') FROM fact_sales
+UNION ALL SELECT 2, 0"""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+# Days without a row that still count as a gap in the calendar; more is taken for a mistyped date.
+WIDEST_GAP = 366
 
 
 def calendar_between(bounds: DataFrame) -> DataFrame:
@@ -24,7 +27,35 @@ def calendar_between(bounds: DataFrame) -> DataFrame:
     )
 
 
+def day_spans(fact: DataFrame) -> DataFrame:
+    """(first, last, wide) from each day of the fact to the day before its next one.
+
+    A span of more than WIDEST_GAP days is ``wide`` and holds its first day alone. Distinct
+    days are no more than the calendar has, which bounds the window's only task.
+    """
+    days = fact.select("date").where(F.col("date").isNotNull()).distinct()
+    next_day = F.lead("date").over(Window.orderBy("date"))
+    gap = F.datediff(next_day, F.col("date"))
+    wide = F.coalesce(gap > WIDEST_GAP, F.lit(False))
+    return days.select(
+        F.col("date").alias("first"), wide.alias("wide"),
+        F.when(wide, F.col("date")).otherwise(
+            F.coalesce(F.date_sub(next_day, 1), F.col("date"))).alias("last"))
+
+
 def missing_days(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
-    """Calendar rows for the fact's date range that the dimension does not hold yet."""
-    bounds = fact.agg(F.min("date").alias("first"), F.max("date").alias("last"))
-    return calendar_between(bounds).join(dim_time.select("date"), "date", "left_anti")
+    """Calendar rows for the fact's days and the gaps between them that the dimension lacks.
+
+    Spans are dealt over tasks before they are filled. One mistyped year adds its own day and
+    no other: see ``wide_gaps`` for such dates.
+    """
+    spans = day_spans(fact).repartition("first")
+    return calendar_between(spans).join(dim_time.select("date"), "date", "left_anti")
+
+
+def wide_gaps(fact: DataFrame) -> DataFrame:
+    """(after, before): neighbouring days of the fact with over WIDEST_GAP days between them."""
+    days = fact.select("date").where(F.col("date").isNotNull()).distinct()
+    pairs = days.select(F.col("date").alias("after"),
+                        F.lead("date").over(Window.orderBy("date")).alias("before"))
+    return pairs.where(F.datediff("before", "after") > WIDEST_GAP)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tillflow.functions.text import strip
 from tillflow.operators.merge import full_merge, keep_one
 from tillflow.schemas import (DIM_RETAILER, DIM_SKU, DIM_STORE, MASTER_NAMES, SEED_RETAILER,
-                              conform)
+                              conform, evolved)
 
 # Attributes of products and stores known from sales only.
 SKU_DEFAULTS = {"sku_name": "Unknown SKU", "category": "Unknown", "subcategory": "Unknown",
@@ -35,8 +35,9 @@ def ensure_retailer(dim_retailer: DataFrame, retailer_id: str, name: str | None
 
 def add_retailers(dim_retailer: DataFrame, wanted: DataFrame) -> DataFrame:
     """Insert retailers that are absent; present ones stay as they are."""
-    current = conform(dim_retailer, DIM_RETAILER)
-    absent = conform(wanted, DIM_RETAILER).join(
+    layout = evolved(DIM_RETAILER, dim_retailer)
+    current = conform(dim_retailer, layout)
+    absent = conform(wanted, layout).join(
         current.select("retailer_id"), "retailer_id", "left_anti"
     )
     return current.unionByName(absent.dropDuplicates(["retailer_id"]))
@@ -68,8 +69,12 @@ def merge_dimension(current: DataFrame, incoming: DataFrame, schema: T.StructTyp
                     loaded_at: dt.datetime | None = None) -> DataFrame:
     """Upsert in which incoming attributes win where they are present.
 
-    ``incoming`` holds one row per key. Attributes it lacks keep their present value.
+    ``incoming`` holds one row per key. Attributes it lacks keep their present value, also
+    those that were added to the dimension beyond ``schema``. An added column takes the wider
+    type of both sides.
     """
+    shared = [f for f in incoming.schema.fields if f.name in current.columns]
+    schema = evolved(schema, current, T.StructType(shared))
     given = [c for c in incoming.columns if c != key and c in schema.names and c not in _STAMPS]
     held = conform(current, schema)
     new = conform(incoming.select(key, *given), schema).filter(F.col(key).isNotNull())
@@ -84,6 +89,7 @@ def merge_dimension(current: DataFrame, incoming: DataFrame, schema: T.StructTyp
 def fill_dimension(current: DataFrame, seen: DataFrame, schema: T.StructType, key: str,
                    defaults: dict, loaded_at: dt.datetime | None = None) -> DataFrame:
     """Add keys seen in sales and fill gaps; nothing the dimension knows is replaced."""
+    schema = evolved(schema, current)
     held = conform(current, schema)
     new = conform(seen, schema).filter(F.col(key).isNotNull())
     values = {}
@@ -102,14 +108,14 @@ def fill_dimension(current: DataFrame, seen: DataFrame, schema: T.StructType, ke
 def merge_skus_from_master(dim_sku: DataFrame, master: DataFrame, order: str,
                            loaded_at: dt.datetime | None = None) -> DataFrame:
     """Upsert products from a master frame; of repeated products the first row counts."""
-    return merge_dimension(dim_sku, keep_one(_known(master, DIM_SKU, order), ["sku_id"], order,
-                                             "first"), DIM_SKU, "sku_id", loaded_at)
+    rows = keep_one(_known(master, dim_sku, DIM_SKU, order), ["sku_id"], order, "first")
+    return merge_dimension(dim_sku, rows, DIM_SKU, "sku_id", loaded_at)
 
 
 def merge_stores_from_master(dim_store: DataFrame, master: DataFrame, order: str,
                              loaded_at: dt.datetime | None = None) -> DataFrame:
-    return merge_dimension(dim_store, keep_one(_known(master, DIM_STORE, order), ["store_id"],
-                                               order, "first"), DIM_STORE, "store_id", loaded_at)
+    rows = keep_one(_known(master, dim_store, DIM_STORE, order), ["store_id"], order, "first")
+    return merge_dimension(dim_store, rows, DIM_STORE, "store_id", loaded_at)
 
 
 def merge_skus_from_sales(dim_sku: DataFrame, sales: DataFrame, order: str,
@@ -119,7 +125,7 @@ def merge_skus_from_sales(dim_sku: DataFrame, sales: DataFrame, order: str,
     Attributes are looked up in the sales only for products that are new or have a gap:
     once the dimension is filled, that leaves few rows to order by position.
     """
-    attributes = [c for c in SKU_DEFAULTS if c in sales.columns]
+    attributes = [c for c in (*SKU_DEFAULTS, "department", "pack_size") if c in sales.columns]
     seen = sales.select("sku_id").distinct()
     if attributes:
         current = conform(dim_sku, DIM_SKU)
@@ -178,5 +184,7 @@ def enrich_skus(dim_sku: DataFrame, master: DataFrame, order: str) -> DataFrame:
     )
 
 
-def _known(df: DataFrame, schema: T.StructType, order: str) -> DataFrame:
-    return df.select(*[c for c in df.columns if c in schema.names and c not in _STAMPS], order)
+def _known(df: DataFrame, held: DataFrame, schema: T.StructType, order: str) -> DataFrame:
+    """The columns that the dimension has, and the order."""
+    known = evolved(schema, held).names
+    return df.select(*[c for c in df.columns if c in known and c not in _STAMPS], order)

@@ -55,6 +55,14 @@ def ntile(df: DataFrame, order: list[str], tiles: int, alias: str) -> DataFrame:
     )
 
 
+def row_numbers(df: DataFrame, order: list[str], alias: str) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY order)``; ``order`` should identify a row."""
+    sliced = _ordered_slices(df, order)
+    in_slice = Window.partitionBy(SLICE).orderBy(*order)
+    return sliced.join(_slice_offsets(sliced, [], F.lit(1)), SLICE).select(
+        *df.columns, (F.col("_before") + F.row_number().over(in_slice)).alias(alias))
+
+
 def value_counts(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Ordered, checkpointed histogram of ``value`` per group: the input of ``percentile``."""
     counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_count"))

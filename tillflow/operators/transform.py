@@ -111,3 +111,10 @@ def require_populated(df: DataFrame, columns: list[str]) -> None:
         absent = [c for c in columns if counts[c] == 0]
     if absent:
         raise ValueError(f"columns without any value: {', '.join(absent)}")
+
+
+def column_values(df: DataFrame) -> DataFrame:
+    """(column_name, filled): rows with a value in each column, in one pass."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    pairs = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.col(f"`{c}`"))])
+    return counts.select(F.explode(pairs).alias("column_name", "filled"))

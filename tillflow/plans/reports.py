@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillflow.functions.dates import month_start, previous_month, two_months_back, week_start
 from tillflow.functions.numbers import percent, round2
+from tillflow.operators.day_totals import distinct_skus
 from tillflow.operators.ranking import ntile, percentile, value_counts
 from tillflow.session import shared_folder
 
@@ -56,12 +57,23 @@ def sales_summary(fact: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
+def sales_summary_of_days(fact_days: DataFrame, as_of: dt.date) -> DataFrame:
+    """``sales_summary`` from the day totals, without the fact."""
+    return _since(fact_days, two_months_back(as_of)).drop("fact_rows").select(
+        "date", "store_count", "sku_count", "total_units_sold", "total_sales_value",
+        "promo_units_sold", "promo_sales_value").orderBy(F.desc("date"))
+
+
 def sales_growth_mom(fact: DataFrame, as_of: dt.date) -> DataFrame:
-    """Monthly value against the month before; the first month has nothing to compare."""
+    """Monthly value against the month before; the first month has nothing to compare.
+
+    ``fact`` may be the day totals as well: their column of sums is then added up.
+    """
+    value = "total_sales_value" if "total_sales_value" in fact.columns else "sales_value"
     monthly = (
         _since(fact, two_months_back(as_of))
         .groupBy(month_start(F.col("date")).alias("month"))
-        .agg(F.sum("sales_value").alias("total_sales"))
+        .agg(F.sum(value).cast("decimal(22,2)").alias("total_sales"))
     )
     # A handful of months: this window never sees more rows than the calendar has months.
     previous = F.lag("total_sales").over(Window.orderBy("month"))
@@ -111,6 +123,11 @@ def numeric_distribution(fact: DataFrame, as_of: dt.date) -> DataFrame:
     counts = recent.groupingSets([["month", "store_id"], ["month"]], "month", "store_id").agg(
         F.count_distinct("sku_id").alias("skus"), F.grouping("store_id").alias("all_stores")
     )
+    return _distribution(counts)
+
+
+def _distribution(counts: DataFrame) -> DataFrame:
+    """Of (month, skus, all_stores): per store with 0, and of the whole month with 1."""
     of_store = F.when(F.col("all_stores") == 0, F.col("skus"))
     monthly = counts.groupBy("month").agg(
         F.sum(of_store).alias("sum_skus"), F.count(of_store).alias("stores"),
@@ -127,6 +144,19 @@ def numeric_distribution(fact: DataFrame, as_of: dt.date) -> DataFrame:
     ).orderBy(F.desc("month"))
 
 
+def numeric_distribution_of_days(day_stores: DataFrame, as_of: dt.date) -> DataFrame:
+    """``numeric_distribution`` from the bitmaps of days and stores, without the fact.
+
+    The sets of a month's days are or-ed once per store; those of the stores give the month's.
+    """
+    months = _since(day_stores, two_months_back(as_of)).groupBy(
+        month_start(F.col("date")).alias("month"), "store_id", "bucket").agg(
+        F.bitmap_or_agg("skus").alias("skus"))
+    by_store = distinct_skus(months, "month", "store_id").withColumn("all_stores", F.lit(0))
+    of_month = distinct_skus(months, "month").withColumn("all_stores", F.lit(1))
+    return _distribution(by_store.drop("store_id").unionByName(of_month))
+
+
 def promo_uplift(fact: DataFrame, as_of: dt.date) -> DataFrame:
     """The products with the strongest uplift over weeks that had both kinds of days."""
     promo = F.col("promo_active")
@@ -232,9 +262,10 @@ def _with_names(rows: DataFrame, dim_sku: DataFrame, dim_store: DataFrame) -> Da
     )
 
 
-def stockouts(fact: DataFrame, dim_sku: DataFrame, dim_store: DataFrame) -> DataFrame:
-    """Rows without stock on the latest day."""
-    latest = fact.agg(F.max("date")).scalar()
+def stockouts(fact: DataFrame, dim_sku: DataFrame, dim_store: DataFrame,
+              fact_days: DataFrame | None = None) -> DataFrame:
+    """Rows without stock on the latest day, which the day totals tell if they are given."""
+    latest = (fact if fact_days is None else fact_days).agg(F.max("date")).scalar()
     out = fact.filter((F.col("date") == latest) & (F.col("stock_level") == 0))
     return (
         _with_names(out, dim_sku, dim_store)
@@ -303,18 +334,24 @@ def issue_summary(stockout_rows: DataFrame, dead_stock_rows: DataFrame,
 
 
 def all_reports(tables: dict[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:
-    """Every report by name. A failing report fails: an empty one means "no issues"."""
+    """Every report by name. A failing report fails: an empty one means "no issues".
+
+    What the day totals and bitmaps hold is taken from them, if ``tables`` has them.
+    """
     fact, sku, store = tables["fact_sales"], tables["dim_sku"], tables["dim_store"]
+    days, day_stores = tables.get("fact_days"), tables.get("fact_day_stores")
     flags = {
-        "stockouts": stockouts(fact, sku, store),
+        "stockouts": stockouts(fact, sku, store, days),
         "dead_stock": dead_stock(fact, sku, store, as_of),
         "promo_gaps": promo_gaps(fact, sku, store, as_of),
     }
     return {
-        "sales_summary": sales_summary(fact, as_of),
-        "sales_growth_mom": sales_growth_mom(fact, as_of),
+        "sales_summary": (sales_summary(fact, as_of) if days is None
+                          else sales_summary_of_days(days, as_of)),
+        "sales_growth_mom": sales_growth_mom(fact if days is None else days, as_of),
         "asp_analysis": asp_analysis(fact, as_of),
-        "numeric_distribution": numeric_distribution(fact, as_of),
+        "numeric_distribution": (numeric_distribution(fact, as_of) if day_stores is None
+                                 else numeric_distribution_of_days(day_stores, as_of)),
         "promo_uplift": promo_uplift(fact, as_of),
         "sku_velocity": sku_velocity(fact, as_of),
         "problem_stores": problem_stores(fact, store, as_of),

@@ -2,7 +2,8 @@
 
 Each view is one SQL text over the star schema. ``view_frame`` runs it on DataFrames;
 ``create_views`` registers it in the catalog over saved tables. Facts are summed before
-names are joined, so only the sales summary joins dimensions row by row.
+names are joined, so only the sales summary joins dimensions row by row. Which days there are
+comes from the table of day totals, not from a second scan of the fact.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ SELECT s.sku_id, k.sku_name, k.category, k.department, s.store_id, st.store_name
        s.days_available, s.total_units_sold, s.total_sales_value, s.avg_stock_level,
        s.days_out_of_stock,
        CAST(round(CAST(CAST(s.days_available * 100 AS DOUBLE)
-            / (SELECT nullif(count(DISTINCT date), 0) FROM {fact_sales}) AS DECIMAL(28,10)), 2)
+            / (SELECT nullif(count(date), 0) FROM {fact_days}) AS DECIMAL(28,10)), 2)
             AS DOUBLE) AS numeric_distribution_pct,
        s.gross_sales, s.gross_profit,
        CASE WHEN s.gross_sales = 0 THEN 0D
@@ -147,7 +148,7 @@ WITH days AS (
 )
 SELECT p.sku_id, k.sku_name, k.category, k.department, p.store_id, st.store_name, st.location,
        p.date AS promo_start_date,
-       coalesce(date_sub(p.next_promo_date, 1), (SELECT max(date) FROM {fact_sales}))
+       coalesce(date_sub(p.next_promo_date, 1), (SELECT max(date) FROM {fact_days}))
          AS promo_end_date,
        7 AS promo_duration_days,
        p.price AS promo_price,
@@ -176,12 +177,14 @@ VIEW_SQL = {
     "pricing_trends_view": _PRICING_TRENDS,
     "promo_analysis_view": _PROMO_ANALYSIS,
 }
-STAR_TABLES = ("fact_sales", "dim_store", "dim_retailer", "dim_sku", "dim_time")
+STAR_TABLES = ("fact_sales", "fact_days", "dim_store", "dim_retailer", "dim_sku", "dim_time")
 
 
 def view_frame(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """The view over given DataFrames."""
+    """The view over given DataFrames; without ``fact_days`` the days are found in the fact."""
     text = VIEW_SQL[name]
+    if "fact_days" not in tables:
+        tables = {**tables, "fact_days": tables["fact_sales"].select("date").distinct()}
     used = {t: tables[t] for t in STAR_TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
 

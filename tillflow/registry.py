@@ -13,18 +13,19 @@ from tillflow.functions.dates import ISO_DATE, parse_date
 from tillflow.functions.numbers import clean_number
 from tillflow.functions.text import pack_size, tidy_text
 from tillflow.operators import dimensions, facts
+from tillflow.operators.calendar import missing_days, wide_gaps
 from tillflow.operators.freshness import freshness
-from tillflow.operators.transform import accepted, transform_sales
-from tillflow.operators.validate import validation_stats
+from tillflow.operators.transform import accepted, column_values, transform_sales
+from tillflow.operators.validate import missing_columns, standard_columns, validation_stats
 from tillflow.plans import reports
-from tillflow.plans.load import load_sales
+from tillflow.plans.load import load_new_files, load_sales
 from tillflow.plans.views import create_views, view_frame
-from tillflow.schemas import DIM_SKU, DIM_STORE, conform, union_evolved
+from tillflow.schemas import DIM_SKU, DIM_STORE, RAGGED, REQUIRED_COLUMNS, conform, union_evolved
 from tillflow.session import scratch_path
 from tillflow.sources import order_lines as lines
 from tillflow.sources.report_files import save_reports
 from tillflow.sources.sales_files import map_master_columns, read_master_csv, read_sales_csv
-from tillflow.sources.tables import SavedTables
+from tillflow.sources.tables import SavedTables, describe_catalog
 from tillflow.streaming.landing import land_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,7 +415,8 @@ def loaded_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "master")
     lines.raw_master(spark, sf_dir).write.csv(folder, header=True)
     master = read_master_csv(spark, folder).withColumn(ORDER, F.col("sheet_row").cast("int"))
-    load_sales(tables, raw, "7", master=master, order=ORDER, loaded_at=LOADED_AT)
+    load_sales(tables, raw, "7", master=master, order=ORDER, loaded_at=LOADED_AT,
+               name_products=False)
     names = {"dim_retailer": ("retailer_id", "retailer_name"), "dim_sku": ("sku_id", "sku_name"),
              "dim_store": ("store_id", "store_name"), "dim_time": ("date", "day_name")}
     parts = [tables.read(table).select(F.lit(table).alias("table_name"),
@@ -478,7 +480,7 @@ def report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.write_days(star.fact_sales)
     tables.replace("dim_sku", star.dim_sku)
     tables.replace("dim_store", star.dim_store)
-    counts = save_reports(reports.all_reports(tables.star(), AS_OF),
+    counts = save_reports(reports.all_reports(tables.star_with_totals(), AS_OF),
                           scratch_path(spark, "reports"))
     return spark.createDataFrame(list(counts.items()), "report string, rows long")
 
@@ -490,3 +492,198 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = reports.sales_summary(lines.fact_sales(spark, sf_dir), AS_OF)
     save_reports({"sales_summary": report}, folder)
     return spark.read.schema(report.schema).csv(f"{folder}/sales_summary", header=True)
+
+
+# Day totals and bitmaps
+
+def _saved_fact(spark: SparkSession, sf_dir: str, grain: str = "brand") -> SavedTables:
+    """A saved fact written in two goes, the second over days of the first."""
+    tables = SavedTables(spark, scratch_path(spark, "days"))
+    tables.create()
+    fact = lines.fact_sales(spark, sf_dir, grain)
+    early = fact.where(F.col("date") <= F.lit(SINCE))
+    tables.write_days(early)
+    staged = scratch_path(spark, "batch")
+    fact.where(F.col("date") >= F.lit(SINCE)).withColumn("seq", F.lit(1)).write.parquet(staged)
+    tables.upsert_fact(spark.read.parquet(staged), "seq", LOADED_AT.date())
+    return tables
+
+
+@query
+def day_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day totals that the upserts have kept."""
+    return _saved_fact(spark, sf_dir).read("fact_days")
+
+
+QUERIES |= {
+    "kpi_sales_summary_days": lambda spark, sf_dir: reports.sales_summary_of_days(
+        _saved_fact(spark, sf_dir).read("fact_days"), AS_OF),
+    "kpi_sales_growth_mom_days": lambda spark, sf_dir: reports.sales_growth_mom(
+        _saved_fact(spark, sf_dir).read("fact_days"), AS_OF),
+    "kpi_numeric_distribution_days": lambda spark, sf_dir: reports.numeric_distribution_of_days(
+        _saved_fact(spark, sf_dir).read("fact_day_stores"), AS_OF),
+    "kpi_numeric_distribution_days_part": lambda spark, sf_dir:
+        reports.numeric_distribution_of_days(
+            _saved_fact(spark, sf_dir, "part").read("fact_day_stores"), AS_OF),
+}
+
+
+@query
+def flag_stockouts_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock-outs of the latest day, which the day totals tell: the saved fact is read once."""
+    tables = _saved_fact(spark, sf_dir)
+    return reports.stockouts(tables.read("fact_sales"), lines.dim_sku(spark, sf_dir),
+                             lines.dim_store(spark, sf_dir), tables.read("fact_days"))
+
+
+# Versions, evolution and state
+
+@query
+def evolved_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products after a column was added, filled and widened, through two more merges."""
+    tables = SavedTables(spark, scratch_path(spark, "dims"))
+    tables.create()
+    tables.replace("dim_sku", conform(lines.dim_sku(spark, sf_dir), DIM_SKU))
+    tables.add_columns("dim_sku", "shelf int")
+    master = map_master_columns(lines.raw_master(spark, sf_dir)).withColumn(
+        "shelf", F.col("sheet_row").cast("int"))
+    tables.replace("dim_sku", dimensions.merge_skus_from_master(
+        tables.read("dim_sku"), master, "sheet_row", LOADED_AT))
+    late = master.where(F.col("sheet_row") % 2 == 0).withColumn(
+        "shelf", F.col("sheet_row").cast("long") * 10_000_000_000)
+    tables.replace("dim_sku", dimensions.merge_skus_from_master(
+        tables.read("dim_sku"), late, "sheet_row", LOADED_AT))
+    tables.replace("dim_sku", dimensions.merge_skus_from_sales(
+        tables.read("dim_sku"), _batch(spark, sf_dir), ORDER, LOADED_AT))
+    return tables.read("dim_sku").select("sku_id", "sku_name", "shelf")
+
+
+@query
+def watermark_withdrawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermark after two batches, the later of which is withdrawn."""
+    tables = SavedTables(spark, scratch_path(spark, "state"))
+    tables.create()
+    batch = _batch(spark, sf_dir)
+    for part in (batch.where(F.col("date") <= F.lit(SINCE)), batch):
+        tables.set_watermark(facts.watermark_row(part, LOADED_AT))
+    tables.withdraw_watermark()
+    return tables.read("etl_metadata").select("key", "value")
+
+
+@query
+def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables and columns of a database in which a saved star was declared."""
+    tables, star = SavedTables(spark, scratch_path(spark, "star")), lines.star_tables(spark, sf_dir)
+    tables.create()
+    for name in ("dim_store", "dim_sku", "dim_retailer", "dim_time"):
+        tables.replace(name, getattr(star, name))
+    database = f"retail_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    tables.register(database)
+    listed = describe_catalog(spark, database)
+    return listed.where(F.col("table_name").isin("dim_retailer", "dim_time")).select(
+        "table_name", "ordinal", "column_name", "data_type")
+
+
+# Checks of a raw feed
+
+@query
+def load_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that a load takes in the pass that stages its batch."""
+    tables, raw = _prepared(spark, sf_dir)
+    return load_sales(tables, raw, "7", order=ORDER, loaded_at=LOADED_AT).validation
+
+
+@query
+def loaded_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products that a load found in its file, with what the file says of them."""
+    tables = SavedTables(spark, scratch_path(spark, "load"))
+    tables.create()
+    load_sales(tables, lines.raw_sales(spark, sf_dir), "7", order=ORDER, loaded_at=LOADED_AT)
+    return tables.read("dim_sku").select("sku_id", "sku_name", "category", "pack_size", "brand")
+
+
+@query
+def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which required columns a feed without its quantities has."""
+    raw = standard_columns(lines.raw_sales(spark, sf_dir)).drop("QTY")
+    absent = missing_columns(raw)
+    return raw.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.explode(F.array(*map(F.lit, REQUIRED_COLUMNS))).alias("column_name"), "rows").select(
+        "column_name", F.col("column_name").isin(absent).alias("missing"), "rows")
+
+
+@query
+def column_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a value, by column of the transformed feed: what the all-null guard looks at."""
+    return column_values(transform_sales(lines.raw_sales(spark, sf_dir), "7"))
+
+
+@query
+def calendar_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar rows of a feed in which one line in a thousand is dated far ahead."""
+    feed = lines.sale_lines(spark, sf_dir).select(F.when(
+        F.col("order_number") % 1000 == 0, F.lit(dt.date(9999, 1, 1))).otherwise(
+        F.col("date")).alias("date"))
+    none = lines.dim_time(feed).limit(0)
+    wide = wide_gaps(feed).select(F.col("before").alias("date"), F.lit(True).alias("far"))
+    return missing_days(feed, none).join(wide, "date", "left").select(
+        "date", "day_name", F.coalesce("far", F.lit(False)).alias("far"))
+
+
+def _ragged_file(spark: SparkSession, sf_dir: str) -> str:
+    """Sales files in which some lines have a field too many or too few."""
+    folder = scratch_path(spark, "sales-ragged")
+    sheet = lines.as_sales_file(lines.fact_sales(spark, sf_dir)).select(
+        "STORE_NAME", "ITEM_CODE", "QTY", "SALES_PRE_VAT", "Date")
+    line = F.concat_ws(",", "STORE_NAME", "ITEM_CODE", "QTY", "SALES_PRE_VAT", "Date")
+    kind = F.dayofmonth(F.col("Date").cast("date"))
+    rows = sheet.select(
+        F.month(F.col("Date").cast("date")).alias("file"), F.lit(1).alias("place"),
+        F.when(kind == 3, F.concat(line, F.lit(",x"))).when(
+            kind == 5, F.concat_ws(",", "STORE_NAME", "ITEM_CODE", "QTY")).otherwise(
+            line).alias("line"))
+    heads = rows.select("file").distinct().select(
+        "file", F.lit(0).alias("place"),
+        F.lit("STORE_NAME,ITEM_CODE,QTY,SALES_PRE_VAT,Date").alias("line"))
+    heads.unionByName(rows).repartition(8, "file").sortWithinPartitions("file", "place").select(
+        "file", "line").write.partitionBy("file").text(folder)
+    return folder
+
+
+@query
+def sales_csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a field too many or too few, with their whole text."""
+    return read_sales_csv(spark, _ragged_file(spark, sf_dir), ragged=RAGGED,
+                          recursiveFileLookup=True).drop("file_position")
+
+
+@query
+def load_ragged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of ragged files is loaded or kept back with its text."""
+    tables = SavedTables(spark, scratch_path(spark, "load"))
+    tables.create()
+    raw = read_sales_csv(spark, _ragged_file(spark, sf_dir), ragged=RAGGED,
+                         recursiveFileLookup=True)
+    result = load_sales(tables, raw, "7", loaded_at=LOADED_AT)
+    kept = result.rejects.agg(F.count_if(F.col("reject_reason") == "ragged_row").alias("ragged"),
+                              F.max(F.length("raw_row")).alias("longest"))
+    return kept.select(F.lit(result.loaded).cast("long").alias("loaded"),
+                       F.lit(result.rejected).cast("long").alias("rejected"), "ragged", "longest")
+
+
+@query
+def discovered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a folder: the second takes only what came after the first."""
+    root = scratch_path(spark, "folder")
+    tables = SavedTables(spark, f"{root}/tables")
+    tables.create()
+    sheet = lines.as_sales_file(lines.fact_sales(spark, sf_dir))
+    day = F.col("Date").cast("date")
+    runs = []
+    for number, part in enumerate((day <= F.lit(SINCE), day > F.lit(SINCE), None)):
+        if part is not None:
+            sheet.where(part).write.mode("append").csv(f"{root}/files", header=True)
+        result = load_new_files(tables, f"{root}/files", loaded_at=LOADED_AT)
+        runs.append((number, result.loaded if result else 0))
+    return spark.createDataFrame(runs, "run int, loaded long")

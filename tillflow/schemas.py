@@ -8,6 +8,7 @@ _TYPES = {
     "string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(),
     "date": T.DateType(), "timestamp": T.TimestampType(),
     "decimal(12,2)": T.DecimalType(12, 2), "decimal(10,2)": T.DecimalType(10, 2),
+    "decimal(22,2)": T.DecimalType(22, 2), "long": T.LongType(), "binary": T.BinaryType(),
 }
 
 
@@ -17,6 +18,7 @@ def _fields(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# The columns of the star schema and of the state table.
 DIM_RETAILER = _fields("retailer_id string, retailer_name string, created_at date")
 DIM_STORE = _fields(
     "store_id string, retailer_id string, store_name string, location string, "
@@ -39,6 +41,15 @@ FACT_SALES = _fields(
 )
 ETL_METADATA = _fields("key string, value string, updated_at timestamp")
 
+# Partial aggregates of the fact, kept by its upserts, and the files that were taken.
+FACT_DAYS = _fields(
+    "date date, fact_rows long, store_count long, sku_count long, total_units_sold long, "
+    "total_sales_value decimal(22,2), promo_units_sold long, promo_sales_value decimal(22,2)"
+)
+FACT_DAY_STORES = _fields("date date, store_id string, bucket long, skus binary")
+SKU_CODES = _fields("sku_id string, code long")
+SEEN_FILES = _fields("path string, length long, modified timestamp")
+
 TABLES = {
     "dim_retailer": DIM_RETAILER,
     "dim_store": DIM_STORE,
@@ -48,18 +59,25 @@ TABLES = {
     "etl_metadata": ETL_METADATA,
 }
 
+# Tables kept beside the star schema.
+SIDE_TABLES = {
+    "fact_days": FACT_DAYS,
+    "fact_day_stores": FACT_DAY_STORES,
+    "sku_codes": SKU_CODES,
+    "seen_files": SEEN_FILES,
+}
+
 # Where a row came from in its file; orders "first" and "last" rows of one key.
 POSITION = "file_position"
+# The text of a line with more or fewer fields than the heading; null for all others.
+RAGGED = "ragged_line"
 
 FACT_KEY = ["retailer_id", "store_id", "sku_id", "date"]
 FACT_MEASURES = ["units_sold", "sales_value", "stock_level", "promo_active", "price", "cost"]
 
-# The columns of the raw sales file, all read as text.
-RAW_SALES_COLUMNS = [
-    "STORE_NAME", "ITEM_CODE", "ITEM_NAME", "CATEGORY", "DEPARTMENT", "QTY", "COST",
-    "SALES_PRE_VAT", "SUPPLIER_NAME", "Date", "RRP", "PRICE", "TRANS_DATE", "PROMO_FLAG",
-    "STOCK_LEVEL", "STOCK",
-]
+# Columns of the raw sales file that describe the product, and what they fill.
+ITEM_COLUMNS = {"ITEM_NAME": "sku_name", "CATEGORY": "category", "DEPARTMENT": "department",
+                "SUPPLIER_NAME": "supplier"}
 # Raw names and the standard names they are known by.
 STANDARD_NAMES = {"STORE_NAME": "STORE_ID", "SALES_PRE_VAT": "SALES_AMOUNT", "Date": "DATE"}
 # Columns a sales file should carry, and those cleaned to numbers.
@@ -82,6 +100,49 @@ SEED_RETAILER = ("DEFAULT", "Default Retailer")
 DEFAULT_RETAILER_ID = "DEFAULT_RETAILER"
 
 
+# Whole numbers by how many digits they need.
+_WHOLE = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The least type that holds the values of both.
+
+    Whole numbers widen to longer ones, then to decimals with room for both, then, where 38
+    digits do not do or a side is a float, to double; a date widens to a timestamp. All
+    else, such as a number and a text, meets in string.
+    """
+    if a == b:
+        return a
+    kinds = {a.simpleString(), b.simpleString()}
+    if kinds <= set(_WHOLE):
+        return max((a, b), key=lambda t: _WHOLE[t.simpleString()])
+    if kinds <= {"date", "timestamp"}:
+        return T.TimestampType()
+
+    def digits(kind: T.DataType) -> tuple[int, int] | None:
+        if isinstance(kind, T.DecimalType):
+            return kind.precision - kind.scale, kind.scale
+        return (_WHOLE[kind.simpleString()], 0) if kind.simpleString() in _WHOLE else None
+
+    sides = [digits(a), digits(b)]
+    if all(sides):
+        before, after = (max(s[k] for s in sides) for k in (0, 1))
+        return T.DecimalType(before + after, after) if before + after <= 38 else T.DoubleType()
+    numbers = [s is not None or t.simpleString() in ("float", "double")
+               for s, t in zip(sides, (a, b))]
+    return T.DoubleType() if all(numbers) else T.StringType()
+
+
+def evolved(base: T.StructType, *frames: DataFrame | T.StructType) -> T.StructType:
+    """``base`` and after it the columns that the frames add; added ones take the wider type."""
+    added: dict[str, T.DataType] = {}
+    for frame in frames:
+        for f in (frame if isinstance(frame, T.StructType) else frame.schema).fields:
+            if f.name not in base.names:
+                added[f.name] = wider(added.get(f.name, f.dataType), f.dataType)
+    return T.StructType([*base.fields, *[T.StructField(n, t) for n, t in added.items()]])
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Additive schema evolution: cast known columns, add absent ones as null.
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillflow.functions.text import missing_to_null, strip
-from tillflow.schemas import MASTER_NAMES, POSITION
+from tillflow.schemas import MASTER_NAMES, POSITION, SEEN_FILES, conform
 
 # Quotes inside a quoted field are doubled; a backslash is ordinary text.
 DIALECT = {"quote": '"', "escape": '"'}
@@ -57,6 +59,18 @@ def header_options(header: list[str]) -> tuple[T.StructType, dict]:
     return text_schema(names), {"header": True, "enforceSchema": not provable}
 
 
+def keeping_ragged(schema: T.StructType, ragged: str | None) -> tuple[T.StructType, dict]:
+    """Schema and options that keep the text of lines with too many or too few fields.
+
+    It comes in a column of its own in the same scan; such a line's other columns hold what
+    could be read of it.
+    """
+    if ragged is None:
+        return schema, {}
+    wide = T.StructType([*schema.fields, T.StructField(ragged, T.StringType())])
+    return wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": ragged}
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -108,26 +122,65 @@ def decoded_columns(df: DataFrame) -> DataFrame:
         .alias(decoded_name(f.name)) for f in df.schema.fields])
 
 
-def read_sales_csv(spark: SparkSession, path, encoding: str = "auto", **options) -> DataFrame:
+def read_sales_csv(spark: SparkSession, path, encoding: str = "auto", ragged: str | None = None,
+                   only: DataFrame | None = None, **options) -> DataFrame:
     """A header CSV as text columns plus ``file_position``.
 
     ``path`` is a file, a folder or a list of them, all with the same columns; read files
     of another layout apart and union them by name. With ``auto``, each value is taken as
-    UTF-8 if its bytes are valid UTF-8 and as Latin-1 otherwise, in one scan.
+    UTF-8 if its bytes are valid UTF-8 and as Latin-1 otherwise, in one scan. ``ragged`` names
+    a column for the text of lines whose number of fields is not the heading's. ``only`` are
+    the files to take, as ``listed_files`` gives them.
     """
     source = "ISO-8859-1" if encoding == "auto" else encoding
     header = raw_header(spark, path, source, **options)
     schema, checks = header_options(header)
-    df = spark.read.options(**{**DIALECT, **options}, **checks).schema(schema).csv(
+    schema, keep = keeping_ragged(schema, ragged)
+    df = spark.read.options(**{**DIALECT, **options}, **checks, **keep).schema(schema).csv(
         path, encoding=source)
     placed = df.withColumn(POSITION, position())
+    if only is not None:
+        placed = placed.withColumn(_FILE, F.col("_metadata.file_path")).join(
+            only.select(F.col("path").alias(_FILE)), _FILE, "left_semi").drop(_FILE)
     if encoding == "auto":
         placed = decoded_columns(placed)
     return _named(placed)
 
 
+_FILE = "_file_path"
+
+
+def listed_files(spark: SparkSession, folder: str, master: bool = False) -> DataFrame:
+    """(path, length, modified) of a folder's CSV files; a name with "master" marks a master sheet.
+
+    Only the listing is read, and it stays a frame: no list of files comes to the driver.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modified"))
+    marked = F.contains(F.lower(F.element_at(F.split("path", "/"), -1)), F.lit("master"))
+    return conform(files.where(marked if master else ~marked), SEEN_FILES)
+
+
+def unseen_files(listed: DataFrame, seen: DataFrame) -> DataFrame:
+    """Files that are not in the ledger; one whose size or time has changed counts as new."""
+    return listed.join(seen, ["path", "length", "modified"], "left_anti")
+
+
+def read_new_sales(spark: SparkSession, folder: str, new: DataFrame, **options) -> DataFrame:
+    """The rows of the ``new`` files of a folder.
+
+    Older files are left out by time before they are opened, and of the rest exactly the new
+    ones are kept, by a join on the file's path.
+    """
+    first = new.agg(F.min("modified").alias("first")).first()["first"]
+    after = (first - dt.timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    return read_sales_csv(spark, folder, only=new, modifiedAfter=after, timeZone=zone,
+                          pathGlobFilter="*.csv", **options)
+
+
 def _csv_files(spark: SparkSession, folder: str, master: bool) -> list[str]:
-    """CSV files of a folder by name; only their listing is read."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
     name = F.lower(F.element_at(F.split("path", "/"), -1))
     marked = F.contains(name, F.lit("master"))
@@ -136,12 +189,12 @@ def _csv_files(spark: SparkSession, folder: str, master: bool) -> list[str]:
 
 
 def discover_sales_files(spark: SparkSession, folder: str) -> list[str]:
-    """CSV files of a folder whose name does not mark them as master sheets."""
+    """Paths of CSV files whose name does not mark them as master sheets, for small folders."""
     return _csv_files(spark, folder, master=False)
 
 
 def discover_master_files(spark: SparkSession, folder: str) -> list[str]:
-    """CSV files of a folder whose name marks them as master sheets."""
+    """Paths of CSV files whose name marks them as master sheets, for small folders."""
     return _csv_files(spark, folder, master=True)
 
 

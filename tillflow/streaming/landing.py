@@ -7,9 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.functions.text import missing_to_null
 from tillflow.plans.load import load_sales
-from tillflow.schemas import POSITION
-from tillflow.sources.sales_files import (DIALECT, decoded_columns, header_options,
-                                            distinct_headers, quoted, raw_header)
+from tillflow.schemas import POSITION, RAGGED
+from tillflow.sources.sales_files import (DIALECT, decoded_columns, distinct_headers,
+                                          header_options, keeping_ragged, quoted, raw_header)
 from tillflow.sources.tables import SavedTables
 
 _FILE = "_file"
@@ -18,6 +18,8 @@ _FILE = "_file"
 def sales_file_stream(spark: SparkSession, folder: str, **options) -> DataFrame:
     """Raw rows of the files that arrive in ``folder``, with their file's place."""
     schema, checks = header_options(raw_header(spark, folder, "ISO-8859-1", **options))
+    schema, keep = keeping_ragged(schema, RAGGED)
+    checks |= keep
     stream = decoded_columns(spark.readStream.options(**{**DIALECT, **options}, **checks).schema(
         schema).csv(folder, encoding="ISO-8859-1").withColumn(_FILE, F.col("_metadata")))
     place = F.struct(
