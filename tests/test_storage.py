@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from tillflow.operators.day_totals import day_rows, distinct_skus, store_bitmaps, with_codes
 from tillflow.operators.dimensions import merge_stores_from_master, merge_stores_from_sales
-from tillflow.operators.facts import WATERMARK
+from tillflow.operators.facts import WATERMARK, merge_fact, merge_few
 from tillflow.operators.ranking import row_numbers
 from tillflow.plans import reports
 from tillflow.plans.views import view_frame
@@ -251,6 +251,29 @@ def test_row_numbers(spark):
     assert [r.n for r in found] == list(range(1, 1001))
 
 
+def test_few_rows_leave_the_held_ones_in_place(spark, tables):
+    tables.write_days(fact(spark, ("a", "x", D1, 1), ("b", "x", D1, 2), ("a", "y", D3, 4)))
+    tables.add_columns("fact_sales", "till int")
+    held = tables.read("fact_sales")
+    batch = fact(spark, ("a", "x", D1, 6), ("c", "z", D2, 3)).drop("seq").withColumn(
+        "channel", F.lit("web")).withColumn("created_at", F.lit(None).cast("date"))
+    few, whole = merge_few(held, batch, D2), merge_fact(held, batch, D2)
+    assert few.schema == whole.schema
+    assert few.exceptAll(whole).isEmpty() and whole.exceptAll(few).isEmpty() and few.count() == 4
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert merge_few(held.limit(0), batch, D2).count() == 2
+    assert merge_few(held, batch.limit(0), D2).count() == 3
+
+
+def test_large_batches_take_the_full_join(spark, tables, monkeypatch):
+    monkeypatch.setattr("tillflow.sources.tables.FEW_ROWS", 1)
+    tables.write_days(fact(spark, ("a", "x", D1, 1), ("b", "x", D1, 2)))
+    tables.upsert_fact(fact(spark, ("a", "x", D1, 6), ("c", "z", D2, 3)), "seq", D2)
+    found = {(r.store_id, r.date): r.units_sold for r in tables.read("fact_sales").collect()}
+    assert found == {("a", D1): 6, ("b", D1): 2, ("c", D2): 3}
+
+
 def fact_scans(df) -> int:
     """How often a plan reads files of the fact."""
     return df._jdf.queryExecution().executedPlan().toString().count("/fact_sales]")

@@ -62,13 +62,8 @@ def latest_per_key(batch: DataFrame, order: str) -> DataFrame:
     return conform(keep_one(batch, FACT_KEY, order, "last"), FACT_SALES)
 
 
-def merge_fact(current: DataFrame, latest: DataFrame,
-               loaded_on: dt.date | None = None) -> DataFrame:
-    """Incoming rows replace the measures of equal keys; new keys are added.
-
-    Both sides are unique by key. The date of first load stays. Columns beyond the layout
-    are kept from either side; one that the incoming rows lack keeps its present values.
-    """
+def _widened(current: DataFrame, latest: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the columns of either beyond the layout, and the names of those."""
     current = conform(current, FACT_SALES)
     added = {f.name: f.dataType for f in [*latest.schema, *current.schema]
              if f.name not in FACT_SALES.names}
@@ -78,7 +73,11 @@ def merge_fact(current: DataFrame, latest: DataFrame,
             (F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c)
             for c, kind in added.items()])
 
-    given = [*FACT_MEASURES, *[c for c in added if c in latest.columns]]
+    return widened(current), widened(latest), list(added)
+
+
+def _merged_values(added: list[str], given: list[str], loaded_on: dt.date | None) -> dict:
+    """Columns of a merged row from ``cur`` and ``inc``."""
     values = {
         m: F.when(F.col("inc._here"), F.col(f"inc.{m}")).otherwise(F.col(f"cur.{m}"))
         for m in given
@@ -87,11 +86,48 @@ def merge_fact(current: DataFrame, latest: DataFrame,
     values["created_at"] = F.when(F.col("cur._here"), F.col("cur.created_at")).otherwise(
         F.coalesce(F.col("inc.created_at"), F.lit(loaded_on).cast("date"))
     )
-    return full_merge(widened(current), widened(latest), FACT_KEY, values).select(
+    return values
+
+
+def merge_fact(current: DataFrame, latest: DataFrame,
+               loaded_on: dt.date | None = None) -> DataFrame:
+    """Incoming rows replace the measures of equal keys; new keys are added.
+
+    Both sides are unique by key. The date of first load stays. Columns beyond the layout
+    are kept from either side; one that the incoming rows lack keeps its present values.
+    """
+    given = [*FACT_MEASURES, *[c for c in latest.columns if c not in FACT_SALES.names]]
+    held, incoming, added = _widened(current, latest)
+    return full_merge(held, incoming, FACT_KEY, _merged_values(added, given, loaded_on)).select(
         *FACT_SALES.names, *added
     )
 
 
+def merge_few(current: DataFrame, latest: DataFrame,
+              loaded_on: dt.date | None = None) -> DataFrame:
+    """``merge_fact`` for few incoming rows: they are sent to the held rows, which stay in place.
+
+    The caller has checked the number of incoming rows. The held files are read twice, the
+    second time for their keys alone, and no held row is shuffled.
+    """
+    given = [*FACT_MEASURES, *[c for c in latest.columns if c not in FACT_SALES.names]]
+    held, incoming, added = _widened(current, latest)
+    same = [F.col(f"cur.{k}") == F.col(f"inc.{k}") for k in FACT_KEY]
+    values = _merged_values(added, given, loaded_on)
+    here = F.lit(True)
+    replaced = held.withColumn("_here", here).alias("cur").join(
+        F.broadcast(incoming.withColumn("_here", here)).alias("inc"), same, "left").select(
+        *[F.col(f"cur.{k}").alias(k) for k in FACT_KEY],
+        *[value.alias(name) for name, value in values.items()])
+    keys = F.broadcast(incoming.select(FACT_KEY))
+    # Keys are unique on both sides, so no more of them are met than come in.
+    met = held.select(FACT_KEY).join(keys, FACT_KEY, "left_semi")
+    new = incoming.join(F.broadcast(met), FACT_KEY, "left_anti").withColumn(
+        "created_at", F.coalesce("created_at", F.lit(loaded_on).cast("date")))
+    columns = [*FACT_SALES.names, *added]
+    return replaced.select(columns).unionByName(new.select(columns))
+
+
 def watermark_row(batch: DataFrame, updated_at: dt.datetime | None = None,
                   present: dt.datetime | None = None) -> DataFrame:
     """The state row after a batch: its latest date.

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from tillflow.operators.day_totals import day_rows, store_bitmaps, with_codes
 from tillflow.operators.dimensions import seed_retailer
-from tillflow.operators.facts import WATERMARK, latest_per_key, merge_fact
+from tillflow.operators.facts import WATERMARK, latest_per_key, merge_fact, merge_few
 from tillflow.schemas import ETL_METADATA, SIDE_TABLES, TABLES, conform, evolved
 from tillflow.session import scratch_path
 from tillflow.sources.commits import CommitLog, Conflict
@@ -25,6 +25,8 @@ FACT, STATE = "fact_sales", "etl_metadata"
 BY_DAY = (FACT, "fact_day_stores")
 LAYOUTS = {**TABLES, **SIDE_TABLES}
 KEPT_VERSIONS = 3
+# Rows of a batch that may be sent to all tasks: about 20 MB.
+FEW_ROWS = 200_000
 # Not part of what a version holds: a row that was only seen again is no change.
 UNCOUNTED = ("updated_at",)
 
@@ -185,14 +187,16 @@ class SavedTables:
 
     # The fact
 
-    def write_days(self, rows: DataFrame, days: list[dt.date] | None = None) -> None:
+    def write_days(self, rows: DataFrame, days: list[dt.date] | None = None,
+                   in_place: bool = False) -> None:
         """Replace the days that occur in ``rows``; other days stay as they are.
 
         The overwrite mode is set on the write itself: in the session default, the same
         write would delete every other day. Rebalancing splits a busy day over several
-        tasks and files, and joins quiet days. The partial aggregates follow; until they do,
-        the days are noted as open, so that a write that is broken off can be made good.
-        ``days`` are those that occur, if they are known.
+        tasks and files, and joins quiet days; with ``in_place`` the rows are written by the
+        tasks that have read them. The partial aggregates follow; until they do, the days are
+        noted as open, so that a write that is broken off can be made good. ``days`` are those
+        that occur, if they are known.
         """
         rows = conform(rows, TABLES[FACT])
         if not set(rows.columns) <= set(self.layout(FACT).names):
@@ -202,8 +206,9 @@ class SavedTables:
         if days is not None:
             self._open_days({str(d) for d in days})
         span = Observation()
+        rows = conform(rows, self.layout(FACT))
         (
-            conform(rows, self.layout(FACT)).hint("rebalance", "date")
+            (rows if in_place else rows.hint("rebalance", "date"))
             .observe(span, F.min("date").alias("first"), F.max("date").alias("last"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("date").parquet(f"{self.root}/{FACT}")
@@ -249,14 +254,18 @@ class SavedTables:
     def upsert_fact(self, batch: DataFrame, order: str, loaded_on: dt.date | None = None) -> None:
         """Merge a batch into its days; the last row per key in ``order`` counts.
 
-        The batch is read twice, so hand in a saved one. Only its days are read and
-        rewritten. Their list is no longer than
-        the calendar and prunes the fact's partitions before any file is opened.
+        The batch is read several times, so hand in a saved one. Only its days are read and
+        rewritten. Their list is no longer than the calendar and prunes the fact's partitions
+        before any file is opened. A batch of at most FEW_ROWS is sent to the held rows, which
+        are not shuffled; a larger one meets them in a full join.
         """
         self.repair_days()
-        days = [r.date for r in batch.select("date").distinct().toLocalIterator()]
+        counts = batch.groupBy("date").count().collect()   # at most one row for each day
+        days = [r["date"] for r in counts]
+        few = sum(r["count"] for r in counts) <= FEW_ROWS
         current = self.read(FACT).filter(F.col("date").isin(days))
-        self.write_days(merge_fact(current, latest_per_key(batch, order), loaded_on), days)
+        merge = merge_few if few else merge_fact
+        self.write_days(merge(current, latest_per_key(batch, order), loaded_on), days, few)
 
     # State
 
