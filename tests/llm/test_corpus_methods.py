@@ -11,12 +11,13 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tillflow.llm import (bin_packing, chat_parts, curve_packing, fp_search, line_crf,
-                          source_divergence, toxicity_fm, word_bpe)
+from tillflow.llm import (bin_packing, chat_parts, curve_packing, fp_search, line_crf, line_dedup,
+                          order_minhash, source_divergence, toxicity_fm, word_bpe)
 from tillflow.llm.labelled import remainder, training_rows
 from tillflow.llm.queries import QUERIES
 
@@ -29,6 +30,60 @@ def library_ids(text, end=None):
     return np.array(ids + ([] if end is None else [end]), "<u4")
 
 
+# 1 and 8
+
+def test_no_run_is_left_in_the_catalog(spark, docs_of):
+    texts = [f"a line of some length {k % 5}\nanother long line {k}" for k in range(20)]
+    rows = line_dedup.dedup_lines(docs_of(texts), batches=5).orderBy("doc_id").collect()
+    assert [r.n_dropped for r in rows] == [0] * 5 + [1] * 15
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")]
+
+
+def brute_signature(text, k=3, length=2, sketches=64):
+    def chain(*values):
+        seed = 42
+        for v in values:
+            data = v if isinstance(v, bytes) else v[0].to_bytes(v[1], "little")
+            seed = xxhash.xxh64_intdigest(data, seed)
+        return seed
+
+    words = [chain(w.encode()) for w in re.split("[ \t-\r]+", text.strip(" \t\n\x0b\f\r"))]
+    seen, ring = Counter(), []
+    for i in range(max(len(words) - k, 0) + 1):
+        kmer = chain(*[(w, 8) for w in words[i:i + k]]) >> 28
+        ring.append((chain((kmer, 8), (seen[kmer], 4)) >> 28, i))
+        seen[kmer] += 1
+    ring.sort()
+    out = []
+    for sketch in range(sketches):
+        first = next((n for n, (h, _) in enumerate(ring) if h >> 30 >= sketch), 0)
+        chosen = sorted((i, h) for h, i in (ring[(first + j) % len(ring)] for j in range(length)))
+        out.append(chain(*[(h, 8) for _, h in chosen]))
+    return out
+
+
+def test_signatures_are_those_of_brute_force(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefgh", k=n)) for n in (1, 2, 3, 4, 9, 60, 400)]
+    texts += ["", "  \n", "same " * 50, "É x\ty", "one two three one two three one two three"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", order_minhash.signature("text").alias("sig")).collect()
+    for r in rows:
+        assert [v % 2 ** 64 for v in r.sig] == brute_signature(r.text), r.text
+
+
+def test_rows_with_one_id_or_none_meet_their_next(spark):
+    rows = [(3, "c c c c"), (3, "b b b b"), (None, "n n"), (None, "m m"), (1, "a a a a"), (3, "b b b b")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, sig string")
+    found = order_minhash.fingerprints(docs).collect()
+    order = [(3, "b b b b"), (3, "b b b b"), (3, "c c c c"), (1, "a a a a"), (None, "m m"), (None, "n n")]
+    edited = {}
+    for (_, text), (_, after) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        edited.setdefault(text, set()).add(text[:len(text) - half] + after[:half])
+    assert all(r.edited_text in edited[r.text] and r.sig == "x" for r in found) and len(found) == 6
+
+
 # 3 and 10
 
 def test_sample_bound_holds_for_repeated_ids(spark):

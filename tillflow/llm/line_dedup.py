@@ -65,6 +65,7 @@ class LineRuns:
                 for name in full[1:]:
                     merged = merged.unionByName(self.spark.table(name))
                 self._save(merged.repartition(self.buckets, "hash"), level + 1)
+                self._drop(full)
             level += 1
 
     def add(self, lines: DataFrame) -> DataFrame:
@@ -83,6 +84,16 @@ class LineRuns:
             F.col("new").isNull() | ~F.col("id").eqNullSafe(F.col("owner"))
         ).select("id", "version", "pos")
 
+    def _drop(self, names: list[str]) -> None:
+        """Take runs out of the catalog; their files stay in the shared folder for the cluster."""
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def close(self) -> None:
+        """No more batches: no run is left in the catalog."""
+        self._drop([name for level in self.levels for name in level])
+        self.levels = [[]]
+
     def _path(self, name: str) -> str:
         detail = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
         return detail.where(F.col("col_name") == "Location").first()["data_type"]
@@ -120,6 +131,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for batch in range(batches):
         lost = runs.add(written.where(F.col("batch") == batch).drop("batch"))
         gone = lost if gone is None else gone.unionByName(lost)
+    runs.close()   # what goes is read from the files of the runs
     gone = gone.groupBy("id", "version").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
     text = text_of(F.col(text_col))
