@@ -10,32 +10,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Row-level star join; the store name falls back to the store id when blank. The margin
-# is settled on ten decimals before it is rounded.
-_SALES_SUMMARY = """
-SELECT f.date, f.store_id,
-       coalesce(nullif(st.store_name, ''), st.store_id) AS store_name,
-       st.retailer_id, r.retailer_name,
-       f.sku_id, k.sku_name, k.category, k.department,
-       f.units_sold, f.sales_value, f.price, f.stock_level, f.promo_active, f.cost,
-       CAST(CAST(CAST(f.sales_value AS DOUBLE) / nullif(f.units_sold, 0) AS DECIMAL(28,10))
-            AS DECIMAL(10,2)) AS avg_selling_price,
-       CAST(f.price * f.units_sold AS DECIMAL(10,2)) AS gross_sales,
-       CAST((f.price - f.cost) * f.units_sold AS DECIMAL(10,2)) AS gross_profit,
-       CASE WHEN f.sales_value = 0 THEN CAST(0 AS DECIMAL(10,2))
-            ELSE CAST(CAST(CAST((f.price - f.cost) * 100 AS DOUBLE)
-                           / nullif(CAST(f.price AS DOUBLE), 0D) AS DECIMAL(28,10))
-                      AS DECIMAL(10,2))
-       END AS gross_margin_pct,
-       t.day_name, t.month_name, t.quarter, t.year, t.is_weekend
-FROM {fact_sales} f
-JOIN {dim_store} st ON st.store_id = f.store_id
-JOIN {dim_retailer} r ON r.retailer_id = f.retailer_id
-JOIN {dim_sku} k ON k.sku_id = f.sku_id
-JOIN {dim_time} t ON t.date = f.date
+
+def _over(part: str, whole: str) -> str:
+    """A quotient settled on ten decimals, so that ties then round away from zero; null over zero."""
+    return (f"CAST(CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0D)"
+            " AS DECIMAL(28,10))")
+
+
+def _money(value: str) -> str:
+    return f"CAST({value} AS DECIMAL(10,2))"
+
+
+def _percent(part: str, whole: str) -> str:
+    return f"CAST(round({_over(f'({part}) * 100', whole)}, 2) AS DOUBLE)"
+
+
+def _unless_zero(value: str, zero: str, otherwise: str) -> str:
+    return f"CASE WHEN {value} = 0 THEN {zero} ELSE {otherwise} END"
+
+
+# What a row earns, by columns of the fact.
+_PROFIT = "(price - cost) * units_sold"
+_SUMMED_PROFIT = f"CAST(sum({_PROFIT}) AS DECIMAL(32,2))"
+
+# One row for each fact row; a blank store name gives way to the id. Money and margin are
+# settled before the names are joined.
+_SALES_SUMMARY = f"""
+WITH earned AS (
+  SELECT *,
+         {_money(_over('sales_value', 'units_sold'))} AS avg_selling_price,
+         {_money('price * units_sold')} AS gross_sales,
+         {_money(_PROFIT)} AS gross_profit,
+         {_unless_zero('sales_value', _money('0'),
+                       _money(_over('(price - cost) * 100', 'price')))} AS gross_margin_pct
+  FROM {{fact_sales}}
+)
+SELECT e.date, store_id, coalesce(nullif(s.store_name, ''), store_id) AS store_name,
+       s.retailer_id, r.retailer_name, sku_id, p.sku_name, p.category, p.department,
+       e.units_sold, e.sales_value, e.price, e.stock_level, e.promo_active, e.cost,
+       e.avg_selling_price, e.gross_sales, e.gross_profit, e.gross_margin_pct,
+       c.day_name, c.month_name, c.quarter, c.year, c.is_weekend
+FROM earned e
+JOIN {{dim_time}} c ON c.date = e.date
+JOIN {{dim_retailer}} r ON r.retailer_id = e.retailer_id
+JOIN {{dim_sku}} p USING (sku_id)
+JOIN {{dim_store}} s USING (store_id)
 """
 
-_SKU_STORE_MATRIX = """
+_SKU_STORE_MATRIX = f"""
 WITH sums AS (
   SELECT sku_id, store_id,
          count(DISTINCT date) AS days_available,
@@ -44,31 +66,28 @@ WITH sums AS (
          CAST(sum(stock_level) AS DOUBLE) / count(stock_level) AS avg_stock_level,
          sum(CASE WHEN stock_level = 0 THEN 1 ELSE 0 END) AS days_out_of_stock,
          CAST(sum(units_sold * price) AS DECIMAL(31,2)) AS gross_sales,
-         CAST(sum((price - cost) * units_sold) AS DECIMAL(32,2)) AS gross_profit
-  FROM {fact_sales}
+         {_SUMMED_PROFIT} AS gross_profit
+  FROM {{fact_sales}}
   GROUP BY sku_id, store_id
 )
 SELECT s.sku_id, k.sku_name, k.category, k.department, s.store_id, st.store_name, st.location,
        s.days_available, s.total_units_sold, s.total_sales_value, s.avg_stock_level,
        s.days_out_of_stock,
-       CAST(round(CAST(CAST(s.days_available * 100 AS DOUBLE)
-            / (SELECT nullif(count(date), 0) FROM {fact_days}) AS DECIMAL(28,10)), 2)
-            AS DOUBLE) AS numeric_distribution_pct,
+       {_percent('s.days_available', '(SELECT count(date) FROM {fact_days})')}
+         AS numeric_distribution_pct,
        s.gross_sales, s.gross_profit,
-       CASE WHEN s.gross_sales = 0 THEN 0D
-            ELSE CAST(round(CAST(CAST(s.gross_profit * 100 AS DOUBLE)
-                 / nullif(CAST(s.gross_sales AS DOUBLE), 0D) AS DECIMAL(28,10)), 2) AS DOUBLE)
-       END AS gross_margin_pct
+       {_unless_zero('s.gross_sales', '0D', _percent('s.gross_profit', 's.gross_sales'))}
+         AS gross_margin_pct
 FROM sums s
-JOIN {dim_sku} k ON k.sku_id = s.sku_id
-JOIN {dim_store} st ON st.store_id = s.store_id
+JOIN {{dim_sku}} k ON k.sku_id = s.sku_id
+JOIN {{dim_store}} st ON st.store_id = s.store_id
 """
 
 # An ISO week across New Year makes two rows, one per calendar year; the year breaks the
 # tie between their equal week starts. The lag runs before the names are joined: a join
 # keeps or drops all weeks of a pair, and the window then never inherits a partitioning by
 # store or product alone, where one busy store would fill a task.
-_PRICING_TRENDS = """
+_PRICING_TRENDS = f"""
 WITH weeks AS (
   SELECT sku_id, store_id,
          trunc(date, 'WEEK') AS week_start_date, year(date) AS year,
@@ -78,8 +97,8 @@ WITH weeks AS (
          count(DISTINCT date) AS total_days,
          sum(units_sold) AS units_sold,
          sum(sales_value) AS total_sales_value,
-         CAST(sum((price - cost) * units_sold) AS DECIMAL(32,2)) AS gross_profit
-  FROM {fact_sales}
+         {_SUMMED_PROFIT} AS gross_profit
+  FROM {{fact_sales}}
   GROUP BY sku_id, store_id, trunc(date, 'WEEK'), year(date)
 ), trends AS (
   SELECT *,
@@ -91,34 +110,31 @@ WITH weeks AS (
 SELECT w.sku_id, k.sku_name, k.category, k.department, w.store_id, st.store_name, st.location,
        w.year, weekofyear(w.week_start_date) AS week_number, w.week_start_date,
        w.avg_weekly_price, w.avg_weekly_cost, w.promo_days, w.total_days,
-       CAST(round(CAST(CAST(w.promo_days * 100 AS DOUBLE) / nullif(w.total_days, 0)
-            AS DECIMAL(28,10)), 2) AS DOUBLE) AS promo_discount_pct,
+       {_percent('w.promo_days', 'w.total_days')} AS promo_discount_pct,
        w.units_sold, w.total_sales_value, w.gross_profit,
-       CASE WHEN w.total_sales_value = 0 THEN 0D
-            ELSE CAST(round(CAST(CAST(w.gross_profit * 100 AS DOUBLE)
-                 / nullif(CAST(w.total_sales_value AS DOUBLE), 0D) AS DECIMAL(28,10)), 2) AS DOUBLE)
-       END AS gross_margin_pct,
+       {_unless_zero('w.total_sales_value', '0D',
+                     _percent('w.gross_profit', 'w.total_sales_value'))} AS gross_margin_pct,
        w.prev_week_price,
        w.avg_weekly_price - w.prev_week_price AS price_change,
-       CAST(round(CAST((w.avg_weekly_price - w.prev_week_price) * 100D
-            / nullif(w.prev_week_price, 0D) AS DECIMAL(28,10)), 2) AS DOUBLE) AS price_change_pct
+       {_percent('w.avg_weekly_price - w.prev_week_price', 'w.prev_week_price')}
+         AS price_change_pct
 FROM trends w
-JOIN {dim_sku} k ON k.sku_id = w.sku_id
-JOIN {dim_store} st ON st.store_id = w.store_id
+JOIN {{dim_sku}} k ON k.sku_id = w.sku_id
+JOIN {{dim_store}} st ON st.store_id = w.store_id
 """
 
 # All periods are range frames over one ordering, so one shuffle and one sort serve every
 # sum. A store and product pair holds at most one row per retailer and day, which bounds
 # the window partition by the calendar. The end date is the day before the next promotion
 # row, or the last day on record.
-_PROMO_ANALYSIS = """
+_PROMO_ANALYSIS = f"""
 WITH days AS (
   SELECT store_id, sku_id, date, unix_date(date) AS day_number, promo_active, price,
          CASE WHEN promo_active THEN units_sold END AS promo_units,
          CASE WHEN NOT promo_active THEN units_sold END AS other_units,
          CASE WHEN promo_active THEN sales_value END AS promo_value,
          CASE WHEN NOT promo_active THEN sales_value END AS other_value
-  FROM {fact_sales}
+  FROM {{fact_sales}}
 ), periods AS (
   SELECT store_id, sku_id, date, promo_active, price,
          lead(CASE WHEN promo_active THEN date END) IGNORE NULLS OVER (
@@ -148,7 +164,7 @@ WITH days AS (
 )
 SELECT p.sku_id, k.sku_name, k.category, k.department, p.store_id, st.store_name, st.location,
        p.date AS promo_start_date,
-       coalesce(date_sub(p.next_promo_date, 1), (SELECT max(date) FROM {fact_days}))
+       coalesce(date_sub(p.next_promo_date, 1), (SELECT max(date) FROM {{fact_days}}))
          AS promo_end_date,
        7 AS promo_duration_days,
        p.price AS promo_price,
@@ -157,17 +173,13 @@ SELECT p.sku_id, k.sku_name, k.category, k.department, p.store_id, st.store_name
        p.post_units / 7D AS avg_daily_units_post_promo,
        CAST(p.pre_value AS DOUBLE) / 7D AS avg_daily_revenue_pre_promo,
        CAST(p.during_value AS DOUBLE) / 7D AS avg_daily_revenue_during_promo,
-       CASE WHEN p.pre_units = 0 THEN 0D
-            ELSE CAST(round(CAST(CAST((p.during_units - p.pre_units) * 100 AS DOUBLE)
-                 / nullif(p.pre_units, 0) AS DECIMAL(28,10)), 2) AS DOUBLE)
-       END AS units_uplift_pct,
-       CASE WHEN p.pre_value = 0 THEN 0D
-            ELSE CAST(round(CAST(CAST((p.during_value - p.pre_value) * 100 AS DOUBLE)
-                 / nullif(CAST(p.pre_value AS DOUBLE), 0D) AS DECIMAL(28,10)), 2) AS DOUBLE)
-       END AS revenue_uplift_pct
+       {_unless_zero('p.pre_units', '0D', _percent('p.during_units - p.pre_units', 'p.pre_units'))}
+         AS units_uplift_pct,
+       {_unless_zero('p.pre_value', '0D', _percent('p.during_value - p.pre_value', 'p.pre_value'))}
+         AS revenue_uplift_pct
 FROM starts p
-JOIN {dim_sku} k ON k.sku_id = p.sku_id
-JOIN {dim_store} st ON st.store_id = p.store_id
+JOIN {{dim_sku}} k ON k.sku_id = p.sku_id
+JOIN {{dim_store}} st ON st.store_id = p.store_id
 ORDER BY promo_start_date DESC, units_uplift_pct DESC, p.store_id, p.sku_id
 """
 
