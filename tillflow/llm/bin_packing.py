@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillflow.llm.word_bpe import BATCH, load, slices
+from tillflow.llm.word_bpe import load, text_batches
 from tillflow.session import scratch_path
 
 PIECE_COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -47,14 +47,13 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0) ->
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for whole in batches:
-            for batch in slices(whole, 1, BATCH):
-                found = []
-                texts = batch.column(1).to_pylist()
-                for doc_id, ids in zip(batch.column(0).to_pylist(), bpe.encode_batch(texts)):
-                    found += [(doc_id, *p) for p in cut(np.append(ids, end_id), capacity)]
-                columns = [pa.array(c, pa.int64()) for c in zip(*found)]
-                yield pa.RecordBatch.from_arrays(columns, PIECE_COLUMNS)
+        for batch in text_batches(batches, 1):
+            found = []
+            texts = batch.column(1).to_pylist()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), bpe.encode_batch(texts)):
+                found += [(doc_id, *p) for p in cut(np.append(ids, end_id), capacity)]
+            columns = [pa.array(c, pa.int64()) for c in zip(*found)]
+            yield pa.RecordBatch.from_arrays(columns, PIECE_COLUMNS)
 
     return rows.mapInArrow(pieces, ", ".join(f"{c} long" for c in PIECE_COLUMNS))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tillflow.llm.word_bpe import BATCH, load, slices
+from tillflow.llm.word_bpe import BATCH, load, slices, text_batches
 from tillflow.session import scratch_path
 
 BUCKETS = 4096
@@ -82,20 +82,19 @@ def token_rows(docs: DataFrame, path: str, end_id: int, dims: int) -> DataFrame:
         size = max(len(bpe.tokens), end_id + 1)
         table, width = projection(size, dims), id_width(size)
         table[end_id] = 0
-        for whole in batches:
-            for batch in slices(whole, 2, BATCH):
-                ids, edges = bpe.encode(batch.column(2).to_pylist())
-                ids = np.insert(ids, edges[1:], end_id)
-                edges = edges + np.arange(len(edges))
-                tokens = np.maximum(np.diff(edges) - 1, 1)
-                x = [np.add.reduceat(table[:, d][ids], edges[:-1]) / tokens for d in range(dims)]
-                raw = ids.astype(width)
-                packed = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [
-                    None, pa.py_buffer((edges * raw.itemsize).astype(np.int64)),
-                    pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), packed.cast(pa.binary()),
-                     *[pa.array(v, pa.float64()) for v in x]], ["uid", "doc_id", "ids", *names])
+        for batch in text_batches(batches, 2):
+            ids, edges = bpe.encode(batch.column(2).to_pylist())
+            ids = np.insert(ids, edges[1:], end_id)
+            edges = edges + np.arange(len(edges))
+            tokens = np.maximum(np.diff(edges) - 1, 1)
+            x = [np.add.reduceat(table[:, d][ids], edges[:-1]) / tokens for d in range(dims)]
+            raw = ids.astype(width)
+            packed = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [
+                None, pa.py_buffer((edges * raw.itemsize).astype(np.int64)),
+                pa.py_buffer(raw)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), packed.cast(pa.binary()),
+                 *[pa.array(v, pa.float64()) for v in x]], ["uid", "doc_id", "ids", *names])
 
     return rows.mapInArrow(code, "uid long, doc_id long, ids binary, "
                            + ", ".join(f"{n} double" for n in names))

@@ -41,10 +41,10 @@ PLAIN = re.compile(rf"{CONTRACTIONS}|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 WIDE = regex.compile(rf"{CONTRACTIONS}|[\p{{L}}]+|[\p{{N}}]|[^\s\p{{L}}\p{{N}}]+")
 NONE = np.iinfo(np.int64).max
 # Chunks kept by a worker and bytes of them; characters taken at a time from a long text.
-KNOWN_CHUNKS, KNOWN_BYTES, STEP = 1_500_000, 64 << 20, 4 << 20
+KNOWN_CHUNKS, KNOWN_BYTES, STEP = 300_000, 16 << 20, 4 << 20
 LONG = 400
-# Bytes of text encoded at a time: distinct chunks repeat more in more text.
-BATCH = 16 << 20
+# Bytes of text encoded at a time; a worker needs about 20 times as much.
+BATCH = 4 << 20
 SPACES = re.compile(r"[ \t-\r]+")
 # White space to Python but not to the vocabulary's patterns.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -308,6 +308,14 @@ def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20) -> Iterator[p
             yield batch.slice(a, b - a)
 
 
+def text_batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Stretches of all batches to encode. What a batch has freed goes back to the system, as
+    workers live on through later stages."""
+    for whole in batches:
+        yield from slices(whole, text, BATCH)
+        pa.default_memory_pool().release_unused()
+
+
 def code_texts(docs: DataFrame, path: str, text_col: str = "text",
                decode: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Adds ``ids`` (array of int) and, if asked for, ``decoded``, the ids read back as text.
@@ -325,15 +333,14 @@ def code_texts(docs: DataFrame, path: str, text_col: str = "text",
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for whole in batches:
-            for batch in slices(whole, text, BATCH):
-                ids, edges = bpe.encode(batch.column(text).to_pylist())
-                out = {c: batch.column(k) for k, c in enumerate(kept)}
-                out["ids"] = pa.ListArray.from_arrays(
-                    pa.array(edges, pa.int32()), pa.array(ids, pa.int32()))
-                if decode:
-                    each = [ids[a:b] for a, b in itertools.pairwise(edges.tolist())]
-                    out["decoded"] = pa.array(bpe.decode_batch(each), pa.string())
-                yield pa.RecordBatch.from_pydict(out)
+        for batch in text_batches(batches, text):
+            ids, edges = bpe.encode(batch.column(text).to_pylist())
+            out = {c: batch.column(k) for k, c in enumerate(kept)}
+            out["ids"] = pa.ListArray.from_arrays(
+                pa.array(edges, pa.int32()), pa.array(ids, pa.int32()))
+            if decode:
+                each = [ids[a:b] for a, b in itertools.pairwise(edges.tolist())]
+                out["decoded"] = pa.array(bpe.decode_batch(each), pa.string())
+            yield pa.RecordBatch.from_pydict(out)
 
     return source.mapInArrow(code, schema)
