@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tillflow.llm import (bin_packing, chat_parts, curve_packing, fp_search, line_crf, line_dedup,
-                          order_minhash, source_divergence, toxicity_fm, word_bpe)
+                          near_dups, order_minhash, source_divergence, toxicity_fm, word_bpe)
 from tillflow.llm.labelled import remainder, training_rows
 from tillflow.llm.queries import QUERIES
 
@@ -509,3 +509,64 @@ def test_registered_token_queries(spark, sf_dir, name):
         total[r.doc_id] += r.length
         assert r.ids_crc32 == zlib.crc32(want[r.doc_id][r.start:r.start + r.length].tobytes())
     assert total == {d: len(x) for d, x in want.items()}
+
+
+# 5
+
+def family(rng, members, fewest=4, words=150):
+    """Texts of one template with shares of words replaced that leave most pairs too unlike."""
+    base = [f"t{k}" for k in range(words)]
+    texts = []
+    for n in range(members):
+        text = list(base)
+        for k in rng.choice(words, rng.integers(fewest, 9), replace=False):
+            text[k] = f"m{n}x{k}"
+        texts.append(" ".join(text))
+    return texts
+
+
+def word_sets(texts, size=5):
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t.lower()) for t in texts]
+    return [{tuple(w[i:i + size]) for i in range(len(w) - size + 1)} for w in words]
+
+
+def brute_heads(texts, percent):
+    sets, part = word_sets(texts), list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        common = len(sets[a] & sets[b])
+        if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+            low, high = sorted((part[a], part[b]))
+            part = [low if p == high else p for p in part]
+    return part
+
+
+def test_large_bands_lose_no_link(docs_of, monkeypatch):
+    rng = np.random.default_rng(21)
+    texts = family(rng, 60)
+    texts += [t.replace("t3 ", f"q{n} ") for n, t in enumerate(texts[::4])] + texts[:3]
+    expected = brute_heads(texts, 80)
+    assert 5 < len(set(expected)) < len(texts) - 10
+    for few in (0, 64):
+        monkeypatch.setattr(near_dups, "FEW", few)
+        # Without rounds of heads the final pass has to find every link.
+        monkeypatch.setattr(near_dups, "STAR_ROUNDS", 0 if few == 0 else 3)
+        rows = near_dups.near_duplicates(docs_of(texts)).orderBy("doc_id").collect()
+        assert [r.component_id for r in rows] == expected
+
+
+@pytest.mark.parametrize("fewest", [1, 4])
+def test_members_that_may_link_meet_and_few_others(spark, docs_of, fewest):
+    texts = family(np.random.default_rng(22), 120, fewest)
+    sets = near_dups.set_rows(docs_of(texts).withColumnRenamed("doc_id", "id"), 5)
+    ids = spark.range(len(texts)).selectExpr("id", "id AS comp")
+    met = near_dups.meeting_pairs(near_dups.rare_shingles(ids, sets, 80), 80).collect()
+    found = {tuple(sorted((r.a, r.b))) for r in met}
+    linked, brute = set(), word_sets(texts)
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        common = len(brute[a] & brute[b])
+        if 100 * common >= 80 * (len(brute[a]) + len(brute[b]) - common):
+            linked.add((a, b))
+    assert len(met) == len(found) and linked <= found
+    assert linked if fewest == 1 else len(found) < 30
+    one = ids.withColumn("comp", F.lit(0).cast("long"))
+    assert near_dups.rare_shingles(one, sets, 80).count() == 0

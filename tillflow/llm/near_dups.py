@@ -9,9 +9,11 @@ standard errors of the threshold are verified, on the full shingle sets.
 
 Copies with one shingle set are one class. A band's members are never paired with each other:
 in each round they meet one head only, and only the best estimate of each is verified. Verified
-links join components. Rounds use other heads. At the end, members of a band whose components
-still differ are compared all with all, so no candidate link is lost; after the rounds few are
-left, as copies of one text have long been joined.
+links join components. Rounds use other heads. At the end, bands whose components still differ
+are settled without loss of a link: in those of at most ``FEW`` members all are compared with
+all; members of larger ones meet only where their full sets share one of their rarest shingles,
+as any two sets that reach the threshold must. A family of documents made from one template, too
+unlike to link but alike enough to share bands, so costs about as much as it has shingles.
 
 Defined results: null texts and texts without words have an empty set and link with nothing.
 Texts with fewer words than a shingle have their whole sequence as one. Rows without an id link
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillflow.llm.components import Components
 from tillflow.llm.word_bpe import slices
@@ -42,6 +44,8 @@ EMPTY = np.uint16(0xFFFF)
 # size (Yu and Weber, HyperMinHash, 2017).
 CHANCE = 0.169919487159739
 STAR_ROUNDS = 3
+# Members of an open band up to which all of them are compared with each other.
+FEW = 64
 SIGNATURE = ("row long, doc_id long, n_shingles long, digest binary, registers array<int>, "
              "filled array<long>, bands array<long>")
 
@@ -240,6 +244,55 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common")))
 
 
+def rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, comp, n, shingle, at): the shingles at which members (id, comp) have to meet.
+
+    Shingles held by one component only cannot be shared by a pair that is looked for, so they
+    come first in the order of all shingles; the others follow by how many members hold them.
+    ``at`` is the place in a member's set of n, from 1. Two sets with
+    100 * intersection >= percent * union share at least ceil(percent * n / 100) shingles, so
+    the first of them lies in each set where as many are left; what lies later is left out.
+    """
+    held = members.join(sets, "id").select(
+        "id", "comp", F.size("shingles").cast("long").alias("n"),
+        F.explode("shingles").alias("shingle"))
+    met = held.groupBy("shingle").agg(
+        F.count("*").alias("holders"), (F.min("comp") != F.max("comp")).alias("open")
+    ).where("open").drop("open")
+    of_member = Window.partitionBy("id")
+    place = F.row_number().over(of_member.orderBy("holders", "shingle"))
+    placed = held.join(met, "shingle").select(
+        "id", "comp", "n", "shingle",
+        (F.col("n") - F.count("*").over(of_member) + place).alias("at"))
+    return placed.where(F.expr(f"n - at + 1 >= (n * {percent} + 99) div 100"))
+
+
+def meeting_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of different components that may be alike, by where they meet.
+
+    At the first shingle that two sets share, each must have as many left as they have to share
+    in all. For the smaller set that is at least the number for two sets of its size.
+    Components meet first, so members of one component are never paired with each other.
+    """
+    whole = 100 + percent
+    smaller = rare.where(F.expr(f"n - at + 1 >= (2 * n * {percent} + {whole - 1}) div {whole}"))
+
+    def comps(rows: DataFrame, x: str) -> DataFrame:
+        return rows.select("shingle", F.col("comp").alias("comp_" + x)).distinct()
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        return rows.select("shingle", F.col("id").alias(x), F.col("comp").alias("comp_" + x),
+                           F.col("n").alias("n_" + x),
+                           (F.col("n") - F.col("at") + 1).alias("left_" + x))
+
+    meetings = comps(smaller, "a").join(comps(rare, "b"), "shingle").where("comp_a <> comp_b")
+    pairs = meetings.join(side(smaller, "a"), ["shingle", "comp_a"]).join(
+        side(rare, "b"), ["shingle", "comp_b"])
+    return pairs.where("n_a < n_b or n_a = n_b and a < b").where(F.expr(
+        f"least(left_a, left_b) >= ((n_a + n_b) * {percent} + {whole - 1}) div {whole}")
+    ).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): links at a similarity of ``percent`` or more."""
     return linked_rows(docs.select("doc_id", "text"), percent, shingle)[1].drop("row")
@@ -295,13 +348,16 @@ def linked_rows(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame,
 
     here = parts.label(buckets, "id", "comp")
     unsettled = here.groupBy("band").agg(
-        (F.min("comp") != F.max("comp")).alias("open")).where("open").select("band")
-    left = here.join(unsettled, "band").join(classes.select(
+        (F.min("comp") != F.max("comp")).alias("open"),
+        F.count("*").alias("members")).where("open").select("band", "members")
+    left = keep(here.join(unsettled, "band"), "unsettled")
+    few = left.where(F.col("members") <= FEW).drop("members").join(classes.select(
         "id", "bands", F.col("registers").alias("r"), F.col("filled").alias("f"),
         F.col("n_shingles").alias("n")), "id")
-    x, y = (left.select("band", *[F.col(c).alias(c + side) for c in left.columns if c != "band"])
+    x, y = (few.select("band", *[F.col(c).alias(c + side) for c in few.columns if c != "band"])
             for side in ("_a", "_b"))
-    # A pair that shares several bands counts at the first of them only.
+    # A pair that shares several bands counts at the first of them only; if that is a larger
+    # one, both are among its members below.
     first = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("band")
     rest = x.join(y, "band").where(
         (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & first
@@ -309,6 +365,11 @@ def linked_rows(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame,
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     parts.add(verified(rest, sets, percent))
 
+    # The links just found may have settled some members of the larger bands.
+    many = parts.label(left.where(F.col("members") > FEW).select("id").distinct(), "id", "comp")
+    rare = keep(rare_shingles(many, sets, percent), "rare")
+    parts.add(verified(estimated(meeting_pairs(rare, percent), classes, threshold), sets, percent))
+
     of_class = parts.label(classes.select("digest", "id", "first.doc_id"), "id", "comp")
     heads = of_class.groupBy("comp").agg(
         F.min(F.struct("doc_id", "digest", "id")).alias("head"))
