@@ -47,7 +47,11 @@ def brute_signature(text, k=3, length=2, sketches=64):
             seed = xxhash.xxh64_intdigest(data, seed)
         return seed
 
-    words = [chain(w.encode()) for w in re.split("[ \t-\r]+", text.strip(" \t\n\x0b\f\r"))]
+    words = []
+    for word in re.split("[ \t-\r]+", text.strip(" \t\n\x0b\f\r")):
+        whole = len(word) <= order_minhash.LONG
+        units = [[word]] if whole else [word[i:i + 4] for i in range(len(word) - 3)]
+        words += [chain(*[c.encode() for c in unit]) for unit in units]
     seen, ring = Counter(), []
     for i in range(max(len(words) - k, 0) + 1):
         kmer = chain(*[(w, 8) for w in words[i:i + k]]) >> 28
@@ -65,13 +69,28 @@ def brute_signature(text, k=3, length=2, sketches=64):
 def test_signatures_are_those_of_brute_force(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choices("abcdefgh", k=n)) for n in (1, 2, 3, 4, 9, 60, 400)]
-    texts += ["", "  \n", "same " * 50, "É x\ty", "one two three one two three one two three"]
+    texts += ["", "  \n", "same " * 50, "É x\ty", "f of f", "\f\x0bf\x0b\f", "one two three one two three one two three"]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select(
         "text", order_minhash.signature("text").alias("sig")).collect()
     for r in rows:
         assert [v % 2 ** 64 for v in r.sig] == brute_signature(r.text), r.text
 
 
+def test_text_without_blanks_keeps_its_likeness_under_edits(spark, docs_of):
+    rng = random.Random(4)
+    text = "".join(rng.choice("天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏é𝄞") for _ in range(2000))
+    edited = text[:700] + "x" + text[700:1500] + text[1501:]
+    other = "".join(rng.sample(text, len(text)))
+    moved = text[1000:] + text[:1000]
+    short = "w" * order_minhash.LONG
+    texts = [text, edited, other, moved, short, short + "w", "a " + text[:33] + " b"]
+    rows = docs_of(texts).select("text", order_minhash.signature("text").alias("sig")).collect()
+    for r in rows:
+        assert [v % 2 ** 64 for v in r.sig] == brute_signature(r.text), r.text
+    same = [sum(x == y for x, y in zip(rows[0].sig, r.sig)) / 64 for r in rows[:4]]
+    assert same[0] == 1 and same[1] > 0.9 and same[2] < 0.1 and same[2] < same[3] < 0.9
+
+
 def test_rows_with_one_id_or_none_meet_their_next(spark):
     rows = [(3, "c c c c"), (3, "b b b b"), (None, "n n"), (None, "m m"), (1, "a a a a"), (3, "b b b b")]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, sig string")

@@ -1,7 +1,10 @@
 """Document fingerprints by Order MinHash, in built-in functions only.
 
-The k-mers of a text are its runs of ``k`` words. Each carries its occurrence number within the
-text, so that repeats count. A 36-bit hash of (k-mer, occurrence) places every k-mer on a ring.
+The k-mers of a text are its runs of ``k`` words. A word of more than ``LONG`` code points, as in
+scripts without blanks, encoded data or minified code, stands for its overlapping runs of ``UNIT``
+code points, so that an edit inside it changes a few k-mers and not all. Each k-mer carries its
+occurrence number within the text, so that repeats count. A 36-bit hash of (k-mer, occurrence)
+places every k-mer on a ring.
 For each of ``sketches`` evenly spaced points, the next ``length`` k-mers on the ring are the
 minimal ones of that point's order; they are put back into text order and their tuple is
 hashed. Likeness is the share of equal tuples: it falls with edits and with moved passages.
@@ -23,8 +26,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillflow.llm.frames import packed, text_of, unpacked
 
 PLACE_BITS, HASH_BITS = 27, 36
-# ASCII white space as SQL string literals.
-SPACE_SQL, SPACE_CLASS_SQL = " \\t\\n\\u000B\\f\\r", "[ \\t-\\r]+"
+LONG, UNIT = 32, 4
+# ASCII white space as SQL string literals, which know no escape for the form feed.
+SPACE_SQL, SPACE_CLASS_SQL = " \\t\\n\\u000B\\u000C\\r", "[ \\t-\\r]+"
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -62,7 +66,12 @@ def signature(text: str, k: int = 3, length: int = 2, sketches: int = 64) -> Col
     tuples = f"transform(fs, s -> xxhash64(transform(sort_array({chosen}), y -> y & {mask}L)))"
     body = _let("rg", ring, _let("bs", begins("rg", point), _let("fs", firsts, tuples)))
     body = _let("km", kmers, _let("st", begins("km", down), body))
-    body = _let("wh", "transform(ws, w -> xxhash64(w))", body)
+    unit = ", ".join(f"get(cs, i + {j})" for j in range(UNIT))
+    units = _let("cs", "split(w, '')",
+                 f"transform(sequence(0, size(cs) - {UNIT}), i -> xxhash64({unit}))")
+    body = _let("wh", f"if(exists(ws, w -> char_length(w) > {LONG}), "
+                f"flatten(transform(ws, w -> if(char_length(w) > {LONG}, {units}, array(xxhash64(w))))), "
+                "transform(ws, w -> xxhash64(w)))", body)
     return F.expr(_let("ws", f"split(btrim({text}, '{SPACE_SQL}'), '{SPACE_CLASS_SQL}')", body))
 
 
