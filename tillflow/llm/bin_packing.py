@@ -4,11 +4,13 @@ Documents are cut into pieces of at most ``capacity`` tokens. Full pieces are se
 The others are dealt at random over partitions of bounded size, and each is packed by best-fit
 decreasing. Dual feasible functions give a lower bound of each partition's sequences. A partition
 that meets its bound is certified: no packing of it is better, and it is settled, all but its
-emptiest sequence. Partitions with a gap keep their full sequences and exchange the documents of
-the others, together with those emptiest sequences: they are dealt anew and packed by best-fit
-decreasing again. That ends when all is settled, when the bound of everything left is met, when
-one partition is left, or when an exchange saves less than ``least_saving`` of its sequences; an
-exchange that saves none is dropped and the packing before it stands.
+emptiest sequences, so that what is settled has no more than ``capacity / LOOSE`` tokens of room
+in a partition. Partitions with a gap exchange all their documents, together with those emptiest
+sequences: they are dealt anew and packed by best-fit decreasing again, in partitions of twice the pieces, up to ``2 ** DOUBLINGS`` times those of the
+first. That ends when all is settled, when the bound of everything left is met, when
+one partition is left, or when an exchange saves less than ``least_saving`` of its sequences. An
+exchange that saves none is dropped; while partitions still grow another follows, then the
+packing before it stands.
 
 Defined results: null and empty texts are one piece with the end token alone. Rows are packed
 one by one, repeated ones and those without an id too. An empty table gives an empty result.
@@ -29,7 +31,8 @@ from tillflow.llm.word_bpe import load, text_batches
 from tillflow.session import scratch_path
 
 PIECE_COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
-PACKED = "bin long, offset long, fill long, emptiest boolean, bins long, bound long"
+PACKED = "bin long, offset long, fill long, loose boolean, bins long, bound long"
+LOOSE, DOUBLINGS = 64, 3
 # Bits of a sequence id: exchanges, partitions and sequences of a partition.
 ROUND_BITS, GROUP_BITS, BIN_BITS = 5, 36, 22
 
@@ -126,10 +129,13 @@ def _pack_partitions(pool: DataFrame, groups: int, seed: int, capacity: int) ->
         sizes = rows["length"].to_numpy(np.int64)
         bins, offsets = best_fit_decreasing(sizes, capacity)
         fill = np.bincount(bins, weights=sizes).astype(np.int64)
+        # The emptiest sequences, beyond the room that may stay in a certified partition.
+        fullest, loose = np.argsort(-fill, kind="stable"), np.empty(len(fill), bool)
+        loose[fullest] = np.cumsum(capacity - fill[fullest]) > capacity // LOOSE
         if len(fill) > 1 << BIN_BITS:
             raise ValueError(f"more than {1 << BIN_BITS} sequences in a partition")
         return rows[names].assign(bin=bins, offset=offsets, fill=fill[bins],
-                                  emptiest=bins == fill.argmin(), bins=len(fill),
+                                  loose=loose[bins], bins=len(fill),
                                   bound=lower_bound(sizes, capacity))
 
     dealt = pool.select("uid", *PIECE_COLUMNS).withColumn(
@@ -156,7 +162,7 @@ def pack_pieces(pieces: DataFrame, capacity: int, partition_pieces: int = 20_000
 
     pool = pieces.where(F.col("length") < capacity)
     waiting, held = None, 0   # the present packing of the pool, and its sequences
-    number = 0
+    dealt = number = 0        # the exchange that gave it, and the present one
     while True:
         # At most one row for each length.
         count = np.zeros(capacity + 1, np.int64)
@@ -164,24 +170,27 @@ def pack_pieces(pieces: DataFrame, capacity: int, partition_pieces: int = 20_000
             count[row["length"]] = row["count"]
         if not count.sum():
             break
-        groups = int(-(-count.sum() // partition_pieces))
+        groups = int(-(-count.sum() // (partition_pieces << min(number, DOUBLINGS))))
         _pack_partitions(pool, groups, number, capacity).write.parquet(f"{folder}/{number}")
         packed = spark.read.parquet(f"{folder}/{number}")
         total = packed.groupBy("group").agg(F.first("bins").alias("bins")).agg(
             F.sum("bins")).first()[0]
         if waiting is not None and total >= held:
-            settle(waiting, number - 1)
+            if groups > 1 and number < DOUBLINGS:
+                number += 1
+                continue
+            settle(waiting, dealt)
             break
         slow = waiting is not None and held - total < least_saving * held
         if groups == 1 or slow or total <= bound_of_counts(count, capacity):
             settle(packed, number)
             break
         certified = F.col("bins") == F.col("bound")
-        done = (F.col("fill") == capacity) | (certified & ~F.col("emptiest"))
+        done = certified & ~F.col("loose")
         settle(packed.where(done), number)
         waiting = pool = packed.where(~done)
         held = pool.select("group", "bin").distinct().count()
-        number += 1
+        dealt, number = number, number + 1
     result = settled[0]
     for part in settled[1:]:
         result = result.unionByName(part)
