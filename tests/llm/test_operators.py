@@ -279,6 +279,13 @@ def test_top_k_with_ties_and_odd_vectors(spark):
     assert topk_nra.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_broadcasts_no_copies_of_queries(spark):
+    vectors = [(k, [float(k % 7), float(k % 11)]) for k in range(300)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    found = topk_nra.top_k(df, F.col("vec_id") % 50 == 0, block_rows=20, query_rows=2)
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+
+
 def test_large_components_are_not_clamped(spark):
     big = [2.0 ** 21, 2.0 ** 22, 3.0 * 2 ** 21, -(2.0 ** 23)]
     vectors = [(k, [x, float(k % 3), -1.0]) for k, x in enumerate(big * 3)]

@@ -159,25 +159,31 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
     packed_blocks(rows, spread).write.parquet(f"{folder}/blocks")
     packed_blocks(queries, F.pmod(F.xxhash64("row"), F.lit(sets))).write.parquet(
         f"{folder}/queries")
-    candidates = spark.read.parquet(f"{folder}/blocks")
-    asked = spark.read.parquet(f"{folder}/queries").select(
-        "dims", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    meeting = asked.join(candidates, ["dims", "block"]).select(
-        "block", "ids", "vectors", "query_ids", "queries", "dims").sortWithinPartitions("block")
+    # Blocks and queries are rows of one stream, a block before the queries that meet it: joined,
+    # each pair would hold a copy of its block, and an Arrow batch thousands of them.
+    candidates = spark.read.parquet(f"{folder}/blocks").withColumn("asks", F.lit(False))
+    asked = spark.read.parquet(f"{folder}/queries").drop("block").select("*", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
+        F.lit(True).alias("asks"))
+    order = ["dims", "block", "asks"]
+    meeting = candidates.unionByName(asked).repartition("dims", "block").select(
+        *order, "ids", "vectors").sortWithinPartitions(*order)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = lists = None
+        lists = None  # of the block at hand; a block lies whole in one task
         floors: dict[tuple, float] = {}  # of each query, from the blocks of this task
         for batch in batches:
             for row in range(batch.num_rows):
-                block, ids, vecs, query_ids, queries, dims = (c[row].as_py() for c in batch.columns)
-                if last != (block, ids):
-                    last, lists = (block, ids), SortedLists(*_matrix(ids, vecs, dims))
+                dims, block, asks, ids, vecs = (c[row].as_py() for c in batch.columns)
+                if not asks:
+                    lists = dims, block, SortedLists(*_matrix(ids, vecs, dims))
+                    continue
+                if lists is None or lists[:2] != (dims, block):
+                    continue  # no candidates of that length in this block
                 found = []
-                for own, query in zip(*_matrix(query_ids, queries, dims)):
+                for own, query in zip(*_matrix(ids, vecs, dims)):
                     name = (int(own), query.tobytes())
-                    best = lists.top(query, int(own), k, floors.get(name, -np.inf))
+                    best = lists[2].top(query, int(own), k, floors.get(name, -np.inf))
                     found += [(int(own), i, s) for s, i in best]
                     if len(best) == k and len(floors) < KNOWN_FLOORS:
                         floors[name] = max(floors.get(name, -np.inf), best[-1][0])
