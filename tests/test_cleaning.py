@@ -166,3 +166,27 @@ def test_require_populated(spark):
         require_populated(df, ["x", "y", "z"])
     with pytest.raises(ValueError, match="y"):
         require_populated(df, ["x", "y"])
+
+
+def test_generated_methods_of_the_transform_stay_compiled(spark, sf_dir):
+    """The JVM interprets methods of over 8,000 bytes."""
+    import re
+
+    from tillflow.operators.transform import transform_sales
+    from tillflow.sources.order_lines import raw_sales
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        raw = raw_sales(spark, sf_dir)
+        plan = transform_sales(raw, carry=["feed_position"])._jdf.queryExecution()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package").codegenString(
+            plan.executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(s) for s in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_texts_that_are_no_numbers(spark):
+    texts = [".", "1.2.3", "", None, "n/a", "1.", ".5", "(3)", "1,234.50"]
+    assert apply(spark, clean_number, texts) == [None] * 5 + [1.0, 0.5, 3.0, 1234.5]

@@ -8,18 +8,20 @@ from pyspark.sql import Column, functions as F
 NOT_A_DIGIT = r"[^\d\.]"
 # A value is negative when it starts with a minus or is written in parentheses.
 NEGATIVE_MARK = r"^\s*[-(]"
+# What is left of a number: a failing cast raises per row, which costs far more than a pattern.
+NUMBER = r"^-?(?:\d+\.?\d*|\.\d+)$"
 
 
 def number_text(col: Column, keep_sign: bool = False) -> Column:
-    """The digits and points of a text, ready to be parsed.
+    """The digits and points of a text, ready to be parsed; null where they make no number.
 
     The sign is dropped by default (returns then count as sales); ``keep_sign`` keeps it.
     """
     text = col.cast("string")
     digits = F.regexp_replace(text, NOT_A_DIGIT, "")
-    if not keep_sign:
-        return digits
-    return F.concat(F.when(text.rlike(NEGATIVE_MARK), "-").otherwise(""), digits)
+    if keep_sign:
+        digits = F.concat(F.when(text.rlike(NEGATIVE_MARK), "-").otherwise(""), digits)
+    return F.nullif(F.regexp_extract(digits, NUMBER, 0), F.lit(""))
 
 
 def clean_number(col: Column, keep_sign: bool = False, data_type: str = "double") -> Column:

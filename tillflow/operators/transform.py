@@ -19,6 +19,15 @@ _FACT_COLUMNS = ["retailer_id", "store_id", "sku_id", "date", "units_sold", "sal
                  "stock_level", "promo_active", "price", "cost"]
 
 
+def counted_rows(df: DataFrame, step: str) -> DataFrame:
+    """The rows, counted on the way.
+
+    A count ends the code that Spark generates for the steps before it. All steps in one make
+    a method of over 8,000 bytes, which the JVM does not compile but interprets.
+    """
+    return df.observe(f"{step}-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
                     keep_sign: bool = False, stock_default: int = 0,
                     carry: list[str] | None = None,
@@ -33,7 +42,7 @@ def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
     The rows are counted on the way, in ``observation`` if given. The counting also keeps
     a filter on the reason above the parsing: pushed below, it would parse all texts twice.
     """
-    df = standard_columns(raw)
+    df = counted_rows(standard_columns(raw), "sales")
     null = F.lit(None).cast("string")
     source = lambda name: F.col(name) if name in df.columns else null
     texts = {name: number_text(source(name), keep_sign) for name in (
@@ -51,7 +60,7 @@ def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
         *[text.alias(name) for name, text in texts.items()],
         *[F.col(c) for c in carry or []],
     )
-    parsed = cleaned.withColumns({
+    parsed = counted_rows(cleaned, "cleaned").withColumns({
         "_units": F.coalesce(F.col("QTY").try_cast("double"), F.lit(0.0)),
         "_stock": F.coalesce(F.col("STOCK").try_cast("double"),
                              F.col("STOCK_LEVEL").try_cast("double"),
