@@ -299,3 +299,20 @@ def test_days_are_not_looked_up_in_the_fact(spark, star):
         assert every[name].schema.simpleString() == plain[name].schema.simpleString()
         assert every[name].collect() == plain[name].collect()
         assert fact_scans(every[name]) == 0 < fact_scans(plain[name])
+
+
+def test_rows_of_a_replacement_are_computed_once(spark, tables):
+    computed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            computed.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(str(k), f"Store {k}") for k in range(10)],
+                                 "store_id string, store_name string")
+    assert tables.replace("dim_store", rows.mapInPandas(counting, rows.schema))
+    assert computed.value == 10
+    folder = tables.path("dim_store")
+    assert not tables.replace("dim_store", rows)
+    assert tables.path("dim_store") == folder and tables.read("dim_store").count() == 10

@@ -10,9 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tillflow.operators.day_totals import day_rows, store_bitmaps, with_codes
 from tillflow.operators.dimensions import seed_retailer
@@ -31,15 +30,15 @@ FEW_ROWS = 200_000
 UNCOUNTED = ("updated_at",)
 
 
-def content_digest(rows: DataFrame) -> DataFrame:
-    """One row: rows and two sums of 64-bit row hashes, whatever the order of the rows.
+def content_sums(rows: DataFrame) -> list[Column]:
+    """The number of rows and two sums of 64-bit row hashes, whatever the order of the rows.
 
-    Equal contents have equal digests; unequal ones share one with a chance of about 2 ** -128.
+    Equal contents have equal sums; unequal ones share them with a chance of about 2 ** -128.
     """
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in UNCOUNTED]))
     sums = [F.coalesce(F.sum(F.xxhash64(F.lit(salt), text).cast("decimal(20,0)")), F.lit(0))
             for salt in (1, 2)]
-    return rows.agg(F.concat_ws("/", F.count(F.lit(1)), *sums).alias("digest"))
+    return [column.alias(f"sum_{i}") for i, column in enumerate((F.count(F.lit(1)), *sums))]
 
 
 class SavedTables:
@@ -128,26 +127,28 @@ class SavedTables:
         """Give several small tables new rows in one commit; returns those that changed.
 
         Rows may derive from the present version, which stays until later ones supersede it.
-        A table whose content is the present one, but for the time of its last update, is not
-        written. A table that another writer has replaced since it was read here raises a
+        A table whose content is the present one, but for the time of its last update, keeps
+        its version: rows are computed once, their digest is taken while they are written, and
+        the copy goes. A table that another writer has replaced since it was read here raises a
         ``Conflict``, and none of the tables changes.
         """
         content = self.log.head()[1]
         based = {n: self._read_at.get(n, self._entry(content, n).get("folder")) for n in tables}
         rows = {n: conform(df, evolved(LAYOUTS[n], self._layout(content, n), df))
                 for n, df in tables.items()}
-        digests = {r["name"]: r["digest"] for r in reduce(DataFrame.unionByName, [
-            content_digest(df).withColumn("name", F.lit(n)) for n, df in rows.items()]).collect()}
         new = {}
         for name, df in rows.items():
             entry = self._entry(content, name)
             # Added columns that hold nothing yet are part of the layout, not of the digest.
             schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-            if entry.get("digest") == digests[name] and entry.get("schema", schema) == schema:
-                continue
             folder = f"{name}/version-{uuid.uuid4().hex}"
-            df.write.parquet(f"{self.root}/{folder}")
-            new[name] = {"folder": folder, "digest": digests[name], "schema": schema}
+            held = Observation()
+            df.observe(held, *content_sums(df)).write.parquet(f"{self.root}/{folder}")
+            digest = "/".join(str(held.get[f"sum_{i}"]) for i in range(3))
+            if entry.get("digest") == digest and entry.get("schema", schema) == schema:
+                self.log.remove(f"{self.root}/{folder}")
+                continue
+            new[name] = {"folder": folder, "digest": digest, "schema": schema}
         if not new:
             return []
         superseded: list[str] = []
