@@ -119,9 +119,13 @@ def merge_stores_from_master(dim_store: DataFrame, master: DataFrame, order: str
 
 
 def merge_skus_from_sales(dim_sku: DataFrame, sales: DataFrame, order: str,
-                          loaded_at: dt.datetime | None = None) -> DataFrame:
+                          loaded_at: dt.datetime | None = None,
+                          cleaned: dict[str, Column] | None = None) -> DataFrame:
     """Add the products of a sales frame; of repeated products the last row counts.
 
+    ``cleaned`` says how attributes are made from the columns of that row: texts are then
+    cleaned once for each product, not for each sale.
+
     Attributes are looked up in the sales only for products that are new or have a gap:
     once the dimension is filled, that leaves few rows to order by position.
     """
@@ -133,7 +137,8 @@ def merge_skus_from_sales(dim_sku: DataFrame, sales: DataFrame, order: str,
         complete = current.filter(~gap).select("sku_id")
         wanted = seen.join(complete, "sku_id", "left_anti")
         rows = sales.select("sku_id", *attributes, order).join(wanted, "sku_id", "left_semi")
-        seen = seen.join(keep_one(rows, ["sku_id"], order, "last"), "sku_id", "left")
+        last = keep_one(rows, ["sku_id"], order, "last").withColumns(cleaned or {})
+        seen = seen.join(last, "sku_id", "left")
     return fill_dimension(dim_sku, seen, DIM_SKU, "sku_id", SKU_DEFAULTS, loaded_at)
 
 

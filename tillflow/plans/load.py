@@ -15,7 +15,7 @@ from tillflow.operators.dimensions import (add_retailers, ensure_retailer,
                                            retailers_of)
 from tillflow.operators.facts import (load_summary, newer_than, require_fact_columns,
                                       split_references, watermark_row)
-from tillflow.operators.transform import (REASON, accepted, rejected, require_populated,
+from tillflow.operators.transform import (REASON, accepted, counted_rows, rejected, require_populated,
                                           transform_sales)
 from tillflow.operators.validate import (FLAGS, flag_sums, missing_columns, row_flags,
                                          standard_columns, with_shares)
@@ -41,16 +41,20 @@ class LoadResult:
     validation: DataFrame
 
 
-def _item_attributes(raw: DataFrame) -> dict[str, Column]:
-    """What the file says of its products, by dimension column; blank texts are none."""
-    found = {name: F.nullif(tidy_text(F.col(c)) if name == "sku_name" else strip(F.col(c)),
-                            F.lit(""))
-             for c, name in ITEM_COLUMNS.items() if c in raw.columns}
+def _item_texts(raw: DataFrame) -> dict[str, Column]:
+    """What the file says of its products, by dimension column, as it stands there."""
+    found = {name: F.col(c) for c, name in ITEM_COLUMNS.items() if c in raw.columns}
     if "ITEM_NAME" in raw.columns:
-        found["pack_size"] = F.nullif(pack_size(F.col("ITEM_NAME")), F.lit(""))
+        found["pack_size"] = F.col("ITEM_NAME")
     return found
 
 
+def _item_attribute(name: str) -> Column:
+    """An attribute from the text of ``_item_texts``; blank texts are none."""
+    clean = {"sku_name": tidy_text, "pack_size": pack_size}.get(name, strip)
+    return F.nullif(clean(F.col(name)), F.lit(""))
+
+
 def _validation(staged: DataFrame, sums: dict) -> DataFrame:
     """The counts of the staging pass, and repeats from the digests it left."""
     repeats = staged.groupBy("_row").count().agg(
@@ -80,31 +84,33 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
     skipped: loaded, rejected and skipped rows add up to the batch. Without ``loaded_at``
     nothing is stamped, and dates are held against the clock before they move the watermark.
 
-    All dimensions change in one commit, and only those whose content changes are written.
+    All dimensions change in one commit; those whose content does not change keep their version.
     """
     spark = tables.spark
     loaded_on = loaded_at.date() if loaded_at else None
+    raw = counted_rows(raw, "raw")
     absent = missing_columns(standard_columns(raw))
     if absent:   # before a default could stand in for them
         raise ValueError(f"sales lack columns: {', '.join(absent)}")
     staged_path = scratch_path(spark, "batch")
     own = [c for c in raw.columns if c not in (order, RAGGED)]
-    texts = F.to_json(F.struct(*[F.col(f"`{c}`") for c in own]))
+    row = F.struct(*[F.col(f"`{c}`") for c in own])
+    texts = F.to_json(F.col(RAW_ROW))   # of rejected rows alone
     if RAGGED in raw.columns:
         texts = F.coalesce(F.col(RAGGED), texts)
-    items = _item_attributes(raw) if name_products else {}
+    items = _item_texts(raw) if name_products else {}
     marked = {f"{ITEM_MARK}{name}": value for name, value in items.items()}
     ragged = [RAGGED] if RAGGED in raw.columns else []
     parsed = transform_sales(
-        raw.withColumns({RAW_ROW: texts, **marked, **row_flags(raw, keep_sign,
-                                                              leave_out=(order, RAGGED))}),
+        raw.withColumns({RAW_ROW: row, **marked, **row_flags(raw, keep_sign,
+                                                            leave_out=(order, RAGGED))}),
         retailer_id, keep_sign, stock_default,
         [order, RAW_ROW, *FLAGS, *[f"`{c}`" for c in marked], *ragged])
     if ragged:
         parsed = parsed.withColumn(REASON, F.when(
-            F.col(RAGGED).isNotNull(), "ragged_row").otherwise(F.col(REASON))).drop(RAGGED)
+            F.col(RAGGED).isNotNull(), "ragged_row").otherwise(F.col(REASON)))
     counted = Observation()
-    parsed.withColumn(RAW_ROW, F.when(F.col(REASON).isNotNull(), F.col(RAW_ROW))).observe(
+    parsed.withColumn(RAW_ROW, F.when(F.col(REASON).isNotNull(), texts)).drop(*ragged).observe(
         counted, *flag_sums()).write.parquet(staged_path)
     with_flags = spark.read.parquet(staged_path)
     validation = _validation(with_flags, counted.get)
@@ -125,7 +131,8 @@ def load_sales(tables: SavedTables, raw: DataFrame, retailer_id: str = DEFAULT_R
         if "store_id" in master.columns:
             stores = merge_stores_from_master(stores, master, order, loaded_at)
     if add_unknown:
-        skus = merge_skus_from_sales(skus, good, order, loaded_at)
+        skus = merge_skus_from_sales(skus, good, order, loaded_at,
+                                     {name: _item_attribute(name) for name in items})
         stores = merge_stores_from_sales(stores, good, loaded_at)
     days = tables.read("dim_time")
     tables.replace_all({
