@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -6,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.dates import (ISO_DATE, month_start, parse_date, previous_month,
                                       two_months_back, week_start)
-from tillflow.functions.numbers import clean_number, percent, round2, whole
-from tillflow.functions.text import missing_to_null, pack_size, promo_flag, tidy_text
+from tillflow.functions.numbers import clean_number, number_text, percent, round2, whole
+from tillflow.functions.text import (is_blank, missing_to_null, pack_size, promo_flag, strip,
+                                     tidy_text)
 from tillflow.operators.transform import accepted, rejected, require_populated, transform_sales
 from tillflow.operators.validate import (clean_columns, missing_columns, standard_columns,
                                          validate_sales, validation_stats)
@@ -50,6 +52,32 @@ def test_parse_date(spark):
     assert apply(spark, lambda c: parse_date(c, (ISO_DATE,)), texts) == [day, day] + [None] * 13
 
 
+def test_plain_texts_are_told_as_before(spark):
+    """What one pattern settles is what taking apart and matching again finds."""
+    numbers = ["12", "12\n", "1.", ".5", ".", "", "-3", "00", "1.2.3", "\u0661", "1_0", " 7 ", None]
+    slow = lambda c: F.nullif(F.regexp_extract(
+        F.regexp_replace(c, r"[^\d\.]", ""), r"^-?(?:\d+\.?\d*|\.\d+)$", 0), F.lit(""))
+    assert apply(spark, number_text, numbers) == apply(spark, slow, numbers)
+    days = [f"{y}-{m}-{d}" for y in (1900, 2000, 2023) for m in ("0", "2", "02", "04", "11", "12", "13")
+            for d in ("0", "1", "09", "28", "29", "30", "31", "32")] + ["2024-01-05\n", "20240105"]
+    cast = lambda c: F.regexp_extract(c, ISO_DATE[0], 0).try_cast("date")
+    assert apply(spark, lambda c: parse_date(c, (ISO_DATE,)), days) == apply(spark, cast, days)
+    blanks = ["", " ", "\t\n", "\u00a0\u2003", "\x1c", "a", " a ", "\u200b", None]
+    assert apply(spark, is_blank, blanks) == apply(spark, lambda c: strip(c) == "", blanks)
+
+
+@pytest.mark.parametrize("keep_sign", [False, True])
+def test_steps_of_the_transform_are_compiled(spark, keep_sign, capsys):
+    """A generated method of over 8,000 bytes is interpreted."""
+    names = ["STORE_ID", "ITEM_CODE", "DATE", "QTY", "SALES_AMOUNT", "STOCK", "STOCK_LEVEL", "RRP",
+             "PRICE", "COST", "PROMO_FLAG"]
+    raw = spark.range(10).select(*[F.col("id").cast("string").alias(n) for n in names])
+    transform_sales(raw, keep_sign=keep_sign).explain("codegen")
+    text = capsys.readouterr().out
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_report_dates():
     assert previous_month(dt.date(1999, 2, 28)) == dt.date(1999, 1, 1)
     assert two_months_back(dt.date(1999, 1, 15)) == dt.date(1998, 11, 1)

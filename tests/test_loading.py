@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from tillflow.operators import dimensions as dims
 from tillflow.operators.calendar import missing_days
-from tillflow.operators.facts import (load_summary, newer_than, require_fact_columns,
-                                      split_references)
+from tillflow.operators.facts import (latest_per_key, load_summary, newer_than,
+                                      require_fact_columns, split_references)
 from tillflow.operators.freshness import date_column, freshness
-from tillflow.operators.merge import keep_one
+from tillflow.operators.merge import greatest_leads, keep_one, leading_rows
 from tillflow.plans.load import load_sales, reject_counts
 from tillflow.schemas import DIM_SKU, DIM_STORE, FACT_KEY, TABLES, conform
 from tillflow.sources.sales_files import map_master_columns, read_sales_csv
@@ -43,6 +43,34 @@ def test_keep_one(spark):
         == [("a", "x"), ("b", "z")]
 
 
+def test_rows_that_may_be_the_last(spark):
+    order = "struct<a:int,b:string>"
+    rows = [("a", "x", (1, "p"), 1), ("a", "x", (2, "p"), 2), ("a", "x", (2, "q"), 3),
+            ("a", "x", None, 4), (None, "x", (None, "r"), 5), (None, "x", None, 6), ("b", "y", (7, None), 7)]
+    df = spark.createDataFrame(rows, f"k string, l string, seq {order}, v int")
+    leads = greatest_leads(df, ["k", "l"], "seq")
+    kept = leading_rows(df, leads, ["k", "l"], "seq")
+    assert kept.columns == df.columns
+    assert sorted(r.v for r in kept.collect()) == [2, 3, 5, 6, 7]
+    whole, few = (keep_one(d, ["k", "l"], "seq", "last") for d in (df, kept))
+    assert few.exceptAll(whole).isEmpty() and whole.exceptAll(few).isEmpty()
+    assert greatest_leads(df, ["k"], "l") is None
+
+
+def test_large_batch_sorts_the_rows_that_may_be_the_last(spark, tmp_path, monkeypatch):
+    """Over FEW_ROWS rows of few keys: copies go before they are sorted, ties of the lead stay."""
+    monkeypatch.setattr("tillflow.sources.tables.FEW_ROWS", 3)
+    seen = []
+    monkeypatch.setattr("tillflow.sources.tables.latest_per_key", lambda batch, order: (
+        seen.append(batch.count()), latest_per_key(batch, order))[1])
+    tables = SavedTables(spark, str(tmp_path))
+    tables.create()
+    tables.upsert_fact(fact_rows(
+        spark, *[("s", "a", D1, k, k) for k in range(20)], ("s", "b", D1, 70, 1)), "seq", D1)
+    assert units(tables.read("fact_sales")) == {("s", "a", D1): 19, ("s", "b", D1): 70}
+    assert seen == [2]
+
+
 def test_upsert_properties(spark, tmp_path):
     tables = SavedTables(spark, str(tmp_path))
     tables.create()

@@ -10,6 +10,8 @@ NOT_A_DIGIT = r"[^\d\.]"
 NEGATIVE_MARK = r"^\s*[-(]"
 # What is left of a number: a failing cast raises per row, which costs far more than a pattern.
 NUMBER = r"^-?(?:\d+\.?\d*|\.\d+)$"
+# Most texts are a number as they stand: one pattern settles them, nothing is taken out.
+PLAIN_NUMBER = r"\A(?:\d+\.?\d*|\.\d+)\z"
 
 
 def number_text(col: Column, keep_sign: bool = False) -> Column:
@@ -21,7 +23,8 @@ def number_text(col: Column, keep_sign: bool = False) -> Column:
     digits = F.regexp_replace(text, NOT_A_DIGIT, "")
     if keep_sign:
         digits = F.concat(F.when(text.rlike(NEGATIVE_MARK), "-").otherwise(""), digits)
-    return F.nullif(F.regexp_extract(digits, NUMBER, 0), F.lit(""))
+    found = F.nullif(F.regexp_extract(digits, NUMBER, 0), F.lit(""))
+    return F.when(text.rlike(PLAIN_NUMBER), text).otherwise(found)
 
 
 def clean_number(col: Column, keep_sign: bool = False, data_type: str = "double") -> Column:

@@ -24,6 +24,11 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
+def is_blank(col: Column) -> Column:
+    """Whether nothing but white space is there; the first other character settles it."""
+    return ~col.rlike(r"(?U)[^\s\x1c-\x1f]")
+
+
 def missing_to_null(col: Column) -> Column:
     return F.when(~col.isin(MISSING_SPELLINGS), col)
 

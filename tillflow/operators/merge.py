@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def keep_one(df: DataFrame, key: list[str], order: str, keep: str) -> DataFrame:
@@ -20,6 +20,32 @@ def keep_one(df: DataFrame, key: list[str], order: str, keep: str) -> DataFrame:
     )
 
 
+def greatest_leads(df: DataFrame, key: list[str], order: str) -> DataFrame | None:
+    """(key.., _lead): the greatest first field of ``order`` for each key; None for other orders.
+
+    A whole number or day is kept in a hash table, while rows in whole are sorted by their key.
+    """
+    kind, lead = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, T.StructType) and kind.fields:
+        kind, lead = kind.fields[0].dataType, lead.getField(kind.names[0])
+    if not isinstance(kind, (T.IntegralType, T.DateType, T.TimestampType)):
+        return None
+    return df.groupBy(*key).agg(F.max(lead).alias("_lead"))
+
+
+def leading_rows(df: DataFrame, leads: DataFrame, key: list[str], order: str) -> DataFrame:
+    """The rows that can be the last of their key: those with its greatest lead.
+
+    ``leads`` are sent to all tasks. Rows that have the same lead are all kept.
+    """
+    kind, lead = df.schema[order].dataType, F.col(f"row.{order}")
+    if isinstance(kind, T.StructType):
+        lead = lead.getField(kind.names[0])
+    same = [F.col(f"row.{k}").eqNullSafe(F.col(f"top.{k}")) for k in key]
+    return df.alias("row").join(F.broadcast(leads).alias("top"), [
+        *same, lead.eqNullSafe(F.col("top._lead"))], "left_semi")
+
+
 def full_merge(current: DataFrame, incoming: DataFrame, key: list[str],
                values: dict[str, Column]) -> DataFrame:
     """Full outer join of two key-unique frames.

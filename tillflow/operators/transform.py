@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tillflow.functions.dates import parse_date
 from tillflow.functions.numbers import number_text, parse_money, whole
-from tillflow.functions.text import promo_flag, strip
+from tillflow.functions.text import is_blank, promo_flag
 from tillflow.operators.validate import standard_columns
 from tillflow.schemas import DEFAULT_RETAILER_ID, FACT_KEY
 
@@ -17,6 +17,7 @@ COST_SHARE = "0.7"
 REASON = "reject_reason"
 _FACT_COLUMNS = ["retailer_id", "store_id", "sku_id", "date", "units_sold", "sales_value",
                  "stock_level", "promo_active", "price", "cost"]
+_NUMBERS = ["QTY", "SALES_AMOUNT", "STOCK", "STOCK_LEVEL", "RRP", "PRICE", "COST"]
 
 
 def counted_rows(df: DataFrame, step: str) -> DataFrame:
@@ -45,10 +46,9 @@ def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
     df = counted_rows(standard_columns(raw), "sales")
     null = F.lit(None).cast("string")
     source = lambda name: F.col(name) if name in df.columns else null
-    texts = {name: number_text(source(name), keep_sign) for name in (
-        "QTY", "SALES_AMOUNT", "STOCK", "STOCK_LEVEL", "RRP", "PRICE", "COST")}
-    # Steps build on one another, so that each text is cleaned and parsed once.
-    cleaned = df.select(
+    # Steps build on one another, so that each text is cleaned and parsed once. The patterns
+    # of all numbers would pass the size of a compiled method: they are cleaned in two steps.
+    dated = df.select(
         F.coalesce(
             *[source(c) for c in ("RETAILER_ID", "retailer_id") if c in df.columns],
             F.lit(retailer_id),
@@ -57,9 +57,12 @@ def transform_sales(raw: DataFrame, retailer_id: str = DEFAULT_RETAILER_ID,
         source("ITEM_CODE").alias("sku_id"),
         parse_date(source("DATE")).alias("date"),
         promo_flag(source("PROMO_FLAG")).alias("promo_active"),
-        *[text.alias(name) for name, text in texts.items()],
+        *[number_text(source(name), keep_sign).alias(name) for name in _NUMBERS[:3]],
+        *[source(name).alias(name) for name in _NUMBERS[3:]],
         *[F.col(c) for c in carry or []],
     )
+    cleaned = counted_rows(dated, "dated").withColumns(
+        {name: number_text(F.col(name), keep_sign) for name in _NUMBERS[3:]})
     parsed = counted_rows(cleaned, "cleaned").withColumns({
         "_units": F.coalesce(F.col("QTY").try_cast("double"), F.lit(0.0)),
         "_stock": F.coalesce(F.col("STOCK").try_cast("double"),
@@ -93,7 +96,7 @@ def row_fault() -> Column:
     blank_key = F.lit(False)
     for key in FACT_KEY:
         if key != "date":
-            blank_key = blank_key | F.col(key).isNull() | (strip(F.col(key)) == "")
+            blank_key = blank_key | F.col(key).isNull() | is_blank(F.col(key))
     too_large = F.lit(False)
     for measure in ("units_sold", "sales_value", "stock_level", "price", "cost"):
         too_large = too_large | F.col(measure).isNull()

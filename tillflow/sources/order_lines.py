@@ -53,30 +53,35 @@ def _sku_columns(grain: str) -> tuple[Column, Column]:
 def sale_lines(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
     """One row per order line with its store, product, day and typed measures."""
     sku_id, number = _sku_columns(grain)
+    # What a product or a store tells is worked out once for each, not for each line.
+    list_price = F.col("p_retailprice").cast("decimal(10,2)")
+    products = _table(spark, sf_dir, "part").select(
+        "p_partkey", sku_id.alias("sku_id"), number.alias("sku_number"),
+        list_price.alias("list_price"), list_price.cast("string").alias("list_price_text"),
+        F.col("p_name").alias("item_name"), F.col("p_type").alias("item_type"))
+    stores = _table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("store_number"),
+        F.col("n_regionkey").cast("string").alias("retailer_id"),
+        F.col("n_nationkey").cast("string").alias("store_id"))
     joined = (
         _table(spark, sf_dir, "lineitem")
-        .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(products, F.col("l_partkey") == F.col("p_partkey"))
         .join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(stores, F.col("s_nationkey") == F.col("store_number"))
     )
     day = F.datediff(F.col("l_shipdate").cast("date"), F.lit(dt.date(1995, 1, 1))) % TRADING_DAYS
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
     return joined.select(
-        F.col("n_regionkey").cast("string").alias("retailer_id"),
-        F.col("n_nationkey").cast("string").alias("store_id"),
-        sku_id.alias("sku_id"),
+        "retailer_id", "store_id", "sku_id",
         F.date_add(F.lit(FIRST_DAY), day).alias("date"),
-        F.col("n_nationkey").alias("store_number"),
-        number.alias("sku_number"),
+        "store_number", "sku_number",
         day.alias("day_number"),
         F.col("l_orderkey").alias("order_number"),
         F.col("l_linenumber").alias("line_number"),
         F.col("l_quantity").cast("int").alias("quantity"),
         (price * (1 - discount)).cast("decimal(12,2)").alias("value"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("list_price"),
-        F.col("p_name").alias("item_name"),
-        F.col("p_type").alias("item_type"),
+        "list_price", "list_price_text", "item_name", "item_type",
     )
 
 
@@ -190,7 +195,7 @@ def raw_sales(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFra
     value = F.col("value").cast("string")
     null = F.lit(None).cast("string")
     item = F.col("item_name")
-    list_price = F.col("list_price").cast("string")
+    list_price = F.col("list_price_text")
     return lines.select(
         _variant(89, {0: F.lit("no such store"), 1: null}, F.col("store_id")).alias("STORE_NAME"),
         _variant(83, {0: F.lit("no such item"), 1: null}, F.col("sku_id")).alias("ITEM_CODE"),
@@ -207,7 +212,7 @@ def raw_sales(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFra
                  value).alias("SALES_PRE_VAT"),
         _variant(17, {
             0: F.date_format("date", "dd/MM/yyyy"), 1: F.lit("1999-02-30"), 2: F.lit("x"), 3: null,
-        }, F.date_format("date", "yyyy-MM-dd")).alias("Date"),
+        }, F.col("date").cast("string")).alias("Date"),
         _variant(11, {0: F.lit("1,234.50"), 1: F.lit("$9.99"), 2: F.lit(""), 3: null}, list_price)
         .alias("RRP"),
         _variant(7, {0: F.lit("")}, list_price).alias("PRICE"),

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tillflow.operators.day_totals import day_rows, store_bitmaps, with_codes
 from tillflow.operators.dimensions import seed_retailer
 from tillflow.operators.facts import WATERMARK, latest_per_key, merge_fact, merge_few
-from tillflow.schemas import ETL_METADATA, SIDE_TABLES, TABLES, conform, evolved
+from tillflow.operators.merge import greatest_leads, leading_rows
+from tillflow.schemas import ETL_METADATA, FACT_KEY, SIDE_TABLES, TABLES, conform, evolved
 from tillflow.session import scratch_path
 from tillflow.sources.commits import CommitLog, Conflict
 
@@ -258,7 +259,8 @@ class SavedTables:
         The batch is read several times, so hand in a saved one. Only its days are read and
         rewritten. Their list is no longer than the calendar and prunes the fact's partitions
         before any file is opened. A batch of at most FEW_ROWS is sent to the held rows, which
-        are not shuffled; a larger one meets them in a full join.
+        are not shuffled; a larger one meets them in a full join. Where it holds at most FEW_ROWS
+        keys, only the rows that can be the last of their key are sorted.
         """
         self.repair_days()
         counts = batch.groupBy("date").count().collect()   # at most one row for each day
@@ -266,6 +268,13 @@ class SavedTables:
         few = sum(r["count"] for r in counts) <= FEW_ROWS
         current = self.read(FACT).filter(F.col("date").isin(days))
         merge = merge_few if few else merge_fact
+        leads = None if few else greatest_leads(batch, FACT_KEY, order)
+        if leads is not None:
+            folder = scratch_path(self.spark, "leads")
+            leads.write.parquet(folder)
+            leads = self.spark.read.parquet(folder)
+            if leads.count() <= FEW_ROWS:
+                batch = leading_rows(batch, leads, FACT_KEY, order)
         self.write_days(merge(current, latest_per_key(batch, order), loaded_on), days, few)
 
     # State
