@@ -321,6 +321,24 @@ def test_lists_read_to_the_end_give_the_best(seed, scale, k):
     assert [x for x in found if x[0] >= floor] == [x for x in expected if x[0] >= floor]
 
 
+def test_queries_of_a_block_read_together():
+    """Each query has its own rows, floor and depth, whatever the others need."""
+    rng = np.random.default_rng(4)
+    ids, rows = rng.permutation(900), rng.integers(-50, 51, (900, 6))
+    rows[100:140] = rows[0]  # ties, to the smaller id
+    lists, queries = topk_nra.SortedLists(ids, rows), rng.integers(-50, 51, (60, 6))
+    queries[7], queries[8] = 0, rows[0]
+    own = np.append(ids[:50], np.arange(2000, 2010))
+    expected = [sorted(((int(r @ q), int(i)) for i, r in zip(ids, rows) if i != o),
+                       key=lambda x: (-x[0], x[1]))[:5] for q, o in zip(queries, own)]
+    none = np.full(60, -np.inf)
+    for enough in (5, 64, 1000):
+        assert lists.tops(queries, own, 5, none, enough) == expected
+    floors = np.array([e[2][0] if k % 2 else -np.inf for k, e in enumerate(expected)])
+    for best, floor, want in zip(lists.tops(queries, own, 5, floors, 8), floors, expected):
+        assert [x for x in best if x[0] >= floor] == [x for x in want if x[0] >= floor]
+
+
 def test_scores_wait_for_the_lists():
     """Components that are not read are not looked at before the lists have left few rows."""
     rng = np.random.default_rng(9)

@@ -4,8 +4,9 @@ Candidates lie in blocks of bounded size, queries in smaller ones; every query b
 every candidate block. Inside a candidate block each dimension is a list sorted by component.
 For a query the lists are read in step, from the end that its sign favours. A candidate's lower
 bound takes the least contribution of each list not yet read for it, its upper bound the
-contribution the list has come down to. Reading stops when few candidates have an upper bound
-that reaches the k-th best lower bound: the others cannot qualify. The scores of those few are
+contribution the list has come down to; the queries of a block read together. A query's reading
+stops when few candidates have an upper bound that reaches the k-th best lower bound: the others
+cannot qualify. The scores of those few are
 then resolved, and blocks are merged by score, ties to the smaller id.
 
 Defined results: components become floor(scale * x) of x as double, as longs; where sums of
@@ -83,42 +84,63 @@ class SortedLists:
         # Per list, for what floats lose.
         self.span = np.abs(self.held[:, [0, -1]]).max(axis=1)
 
-    def top(self, query: np.ndarray, own: int, k: int, floor: float = -np.inf,
-            enough: int = ENOUGH) -> list[tuple[int, int]]:
-        """(score, id) of the k best rows, without the query's own id.
+    def bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds (queries, rows) after all lists were read down to ``depth``.
 
-        ``floor`` is a score that k rows of other blocks are known to reach. Lists are read while
-        more than ``enough`` rows can qualify; the scores of the rest are then resolved.
+        Lists of positive weights are read from their end, those of negative ones from their
+        start. A component that is not yet read gives at least the list's last contribution and
+        at most its present one, whatever the weight: so each end has one table of components
+        known so far for all queries.
         """
-        n, columns = self.matrix.shape[0], np.arange(self.matrix.shape[1])
-        up, weights = query > 0, query.astype(np.float64)
-        place = np.where(up, n - 1 - self.place, self.place)
-
-        def at(depth: int) -> np.ndarray:
-            """What the last row read of each list contributes at a depth."""
-            return self.held[columns, np.where(up, n - depth, depth - 1)] * weights
-
-        alive = np.flatnonzero(self.ids != own)
-        place, least = place[alive], at(n)
-        known = np.zeros(n)  # of the rows and lists read so far
-        depth, step = 0, max(1, n // 8)
-        # What a bound may be off by: its sums have some dims terms of at most span * |query|.
-        unit = float(np.finfo(np.float64).eps)
-        slack = 16 * (len(query) + 2) * unit * float(self.span @ np.abs(weights))
-        while len(alive) > max(k, enough) and depth < n:
-            before, depth = depth, min(n, depth + (step if depth else 2 * step))
-            for side, part in ((up, slice(n - depth, n - before)), (~up, slice(before, depth))):
-                shares = self.held[side, part] * weights[side, None]
-                known += np.bincount(self.rising[side, part].ravel(), shares.ravel(), n)
-            read = (place < depth).astype(np.float64)
-            # Unread lists give at least their last and at most their present contribution.
-            bounds = np.column_stack([least, at(depth)])
-            lower, upper = (known[alive, None] + bounds.sum(axis=0) - read @ bounds).T
-            reach = max(floor, np.partition(lower, -k)[-k])
+        n = len(self.ids)
+        lower = upper = 0.0
+        for weights, read, last, present in (
+                (np.maximum(queries, 0), self.place >= n - depth, 0, n - depth),
+                (np.minimum(queries, 0), self.place < depth, n - 1, depth - 1)):
+            weights = weights.astype(np.float64)
+            lower = lower + weights @ np.where(read, self.matrix, self.held[:, last]).T
+            upper = upper + weights @ np.where(read, self.matrix, self.held[:, present]).T
+        return lower, upper
+
+    def tops(self, queries: np.ndarray, own: np.ndarray, k: int, floors: np.ndarray,
+             enough: int = ENOUGH) -> list[list[tuple[int, int]]]:
+        """For each query the (score, id) of the k best rows, without the query's own id.
+
+        ``floors`` are scores that k rows of other blocks are known to reach. Lists are read for
+        the queries for which more than ``enough`` rows can qualify; then those are resolved.
+        """
+        n, unit = len(self.ids), float(np.finfo(np.float64).eps)
+        found: list[list[tuple[int, int]]] = [[] for _ in own]
+        open_ones, depth, step = np.arange(len(own)), 0, max(1, n // 4)
+        while len(open_ones):
+            asked = queries[open_ones]
+            others = self.ids != own[open_ones, None]
+            if n <= max(k, enough) or depth >= n:
+                for q, stays in zip(open_ones, others if not depth else alive):  # noqa: F821
+                    found[q] = self._resolved(queries[q], np.flatnonzero(stays), k)
+                break
+            depth = min(n, depth + step)
+            lower, upper = self.bounds(asked, depth)
+            lower[~others], upper[~others] = -np.inf, -np.inf
+            reach = np.maximum(floors[open_ones], np.partition(lower, n - k, axis=1)[:, n - k])
+            # What a bound may be off by: its sums have some dims terms of at most span * |query|.
+            slack = 16 * (queries.shape[1] + 2) * unit * (np.abs(asked.astype(np.float64)) @ self.span)
             # A hair below, as the bounds are floats; scores are resolved as whole numbers.
-            stays = upper >= reach - slack - (4 * unit * abs(reach) if reach > -np.inf else 0)
-            if not stays.all():
-                alive, place = alive[stays], place[stays]
+            bound = np.where(reach > -np.inf, reach - slack - 4 * unit * np.abs(reach), -np.inf)
+            alive = others & (upper >= bound[:, None])
+            few = alive.sum(axis=1) <= max(k, enough)
+            for q, stays in zip(open_ones[few], alive[few]):
+                found[q] = self._resolved(queries[q], np.flatnonzero(stays), k)
+            open_ones, alive = open_ones[~few], alive[~few]
+        return found
+
+    def top(self, query: np.ndarray, own: int, k: int, floor: float = -np.inf,
+            enough: int = ENOUGH) -> list[tuple[int, int]]:
+        """``tops`` of one query."""
+        return self.tops(query[None], np.array([own]), k, np.array([floor]), enough)[0]
+
+    def _resolved(self, query: np.ndarray, alive: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """(score, id) of the k best of some rows."""
         rows, ids = self.matrix[alive], self.ids[alive]
         if self.largest * _largest(query) * len(query) < LONG:
             scores = rows @ query
@@ -181,10 +203,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
                 if lists is None or lists[:2] != (dims, block):
                     continue  # no candidates of that length in this block
                 found = []
-                for own, query in zip(*_matrix(ids, vecs, dims)):
-                    name = (int(own), query.tobytes())
-                    best = lists[2].top(query, int(own), k, floors.get(name, -np.inf))
-                    found += [(int(own), i, s) for s, i in best]
+                owns, asked = _matrix(ids, vecs, dims)
+                names = [(int(own), query.tobytes()) for own, query in zip(owns, asked)]
+                known = np.array([floors.get(name, -np.inf) for name in names])
+                for name, best in zip(names, lists[2].tops(asked, owns, k, known)):
+                    found += [(name[0], i, s) for s, i in best]
                     if len(best) == k and len(floors) < KNOWN_FLOORS:
                         floors[name] = max(floors.get(name, -np.inf), best[-1][0])
                 columns = list(zip(*found)) or [[], [], []]
