@@ -136,6 +136,17 @@ def test_catalog(spark, star):
         assert saved.exceptAll(ours).isEmpty() and ours.exceptAll(saved).isEmpty()
 
 
+def test_temporary_views_lie_in_no_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS corner")
+    spark.sql("CREATE TABLE IF NOT EXISTS corner.t (a int) USING parquet")
+    spark.range(1).createOrReplaceTempView("passing")
+    try:
+        assert [r.table_name for r in describe_catalog(spark, "corner").collect()] == ["t"]
+    finally:
+        spark.catalog.dropTempView("passing")
+        spark.sql("DROP TABLE corner.t")
+
+
 def test_report_files_skip_empty(spark, tmp_path):
     full = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 5))], "a int, t timestamp")
     counts = save_reports({"full": full, "none": full.filter("a > 1")}, str(tmp_path))

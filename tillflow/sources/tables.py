@@ -364,10 +364,13 @@ class SavedTables:
 
 
 def describe_catalog(spark: SparkSession, database: str = "default") -> DataFrame:
-    """Tables and views of a database with their columns, one row per column."""
+    """Tables and views of a database with their columns, one row per column.
+
+    Temporary views are listed with any database but lie in none, so they are left out.
+    """
     rows = [
         (t.name, t.tableType, i, c.name, c.dataType)
-        for t in spark.catalog.listTables(database)
+        for t in spark.catalog.listTables(database) if not t.isTemporary
         for i, c in enumerate(spark.catalog.listColumns(f"{database}.{t.name}"), start=1)
     ]
     return spark.createDataFrame(
