@@ -589,3 +589,44 @@ def test_members_that_may_link_meet_and_few_others(spark, docs_of, fewest):
     assert linked if fewest == 1 else len(found) < 30
     one = ids.withColumn("comp", F.lit(0).cast("long"))
     assert near_dups.rare_shingles(one, sets, 80).count() == 0
+
+
+def test_template_families_meet_where_they_differ(docs_of, monkeypatch):
+    texts = family(np.random.default_rng(23), 120, 2)
+    met, meeting_pairs = [], near_dups.meeting_pairs
+
+    def watched(rare, percent):
+        found = rare.groupBy("shingle").agg(F.countDistinct("id").alias("n"))
+        met.append(found.agg(F.max("n")).first()[0] or 0)
+        return meeting_pairs(rare, percent)
+
+    monkeypatch.setattr(near_dups, "meeting_pairs", watched)
+    monkeypatch.setattr(near_dups, "FEW", 16)
+    for percent in (80, 85):
+        rows = near_dups.near_duplicates(docs_of(texts), percent).orderBy("doc_id").collect()
+        assert [r.component_id for r in rows] == brute_heads(texts, percent)
+    # Of the shingles that most of them hold none is a meeting place.
+    assert 0 < max(met) < len(texts) / 2
+
+
+def test_links_with_a_centre_and_of_differences(spark, docs_of):
+    texts = family(np.random.default_rng(24), 70, 1)
+    sets = near_dups.set_rows(docs_of(texts).withColumnRenamed("doc_id", "id"), 5)
+    members = spark.range(len(texts)).selectExpr(
+        "id", "id AS comp", "0L AS family", "IF(id = 7, 2L, 1L) AS weight")
+    beside = near_dups.centred(members, sets).cache()
+    sized = word_sets(texts)
+    found = {r.id: len(r.shingles) for r in beside.collect()}
+    assert found == {n: len(x ^ sized[7]) for n, x in enumerate(sized)}
+    links = {(r.a, r.b) for r in near_dups.links_with_centre(beside, 80).collect()}
+    pairs = {(r.a, r.b) for r in near_dups.meeting_pairs(near_dups.rare_shingles(
+        members.select("id", "comp"), beside.select("id", "n", "shingles"), 80), 80).collect()}
+    part = list(range(len(texts)))
+    for a, b in sorted(links | pairs):
+        common = len(sized[a] & sized[b])
+        linked = 100 * common >= 80 * (len(sized[a]) + len(sized[b]) - common)
+        assert linked or (a, b) in pairs
+        if linked:
+            low, high = sorted((part[a], part[b]))
+            part = [low if p == high else p for p in part]
+    assert links and pairs - links and part == brute_heads(texts, 80)

@@ -11,9 +11,11 @@ Copies with one shingle set are one class. A band's members are never paired wit
 in each round they meet one head only, and only the best estimate of each is verified. Verified
 links join components. Rounds use other heads. At the end, bands whose components still differ
 are settled without loss of a link: in those of at most ``FEW`` members all are compared with
-all; members of larger ones meet only where their full sets share one of their rarest shingles,
-as any two sets that reach the threshold must. A family of documents made from one template, too
-unlike to link but alike enough to share bands, so costs about as much as it has shingles.
+all; members of larger ones, with all that they share a larger band with, are a family, and each is
+taken as its difference from one of them, the centre, that shares its bands with the most. Members
+meet only where their differences share one of their rarest shingles, as they must to reach the
+threshold unless both link with the centre. A family of documents made from one template, too
+unlike to link but alike enough to share bands, so meets where two have made the same change.
 
 Defined results: null texts and texts without words have an empty set and link with nothing.
 Texts with fewer words than a shingle have their whole sequence as one. Rows without an id link
@@ -26,7 +28,7 @@ any. An empty table gives an empty result. Other columns are unused.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,8 @@ CHANCE = 0.169919487159739
 STAR_ROUNDS = 3
 # Members of an open band up to which all of them are compared with each other.
 FEW = 64
+# Copies of a family's centre, each met by a part of the members.
+COPIES = 64
 SIGNATURE = ("row long, doc_id long, n_shingles long, digest binary, registers array<int>, "
              "filled array<long>, bands array<long>")
 
@@ -244,17 +248,61 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common")))
 
 
-def rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, comp, n, shingle, at): the shingles at which members (id, comp) have to meet.
+def centred(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """In what the set of each member (id, comp, family, weight) differs from its family's centre,
+    the set of the heaviest member: (id, comp, n, shingles, centre, centre_comp, centre_n).
+
+    Two sets differ from each other in just what one of their differences holds and the other
+    does not, whatever the centre, so the differences may be compared instead. Members made from
+    one template share nearly all of their sets, but of the differences only what both changed.
+    """
+    heads = members.groupBy("family").agg(F.max(F.struct("weight", "id", "comp")).alias("head"))
+    # Each copy is met by a part of a family, of which no task has to hold the whole.
+    copies = heads.select("family", F.col("head.id").alias("id"), F.col("head.comp").alias("comp")
+                          ).join(sets, "id").select(
+        "family", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(COPIES - 1))).alias("copy"),
+        F.col("id").alias("centre"), F.col("comp").alias("centre_comp"),
+        F.size("shingles").cast("long").alias("centre_n"), F.col("shingles").alias("held"))
+    placed = members.join(sets, "id").withColumn(
+        "copy", F.pmod(F.xxhash64("id"), F.lit(COPIES).cast("long")))
+    return placed.join(copies, ["family", "copy"]).select(
+        "id", "comp", "family", F.size("shingles").cast("long").alias("n"),
+        F.concat(F.array_except("shingles", "held"),
+                 F.array_except("held", "shingles")).alias("shingles"),
+        "centre", "centre_comp", "centre_n")
+
+
+def excess(n: Column, differing: Column, percent: int) -> Column:
+    """Two sets link if 2 * (100 + percent) times the shared part of their differences reaches
+    the sum of their two numbers. Without a centre, the differences are the sets themselves.
+    """
+    return (100 + percent) * differing - (100 - percent) * n
+
+
+def links_with_centre(beside: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of members with the centre of their family, whose excess is the smallest.
 
-    Shingles held by one component only cannot be shared by a pair that is looked for, so they
-    come first in the order of all shingles; the others follow by how many members hold them.
-    ``at`` is the place in a member's set of n, from 1. Two sets with
-    100 * intersection >= percent * union share at least ceil(percent * n / 100) shingles, so
-    the first of them lies in each set where as many are left; what lies later is left out.
+    So two members that link without a shared part of their differences both link with it.
     """
+    differing = F.size("shingles").cast("long")
+    return beside.where(excess(F.col("n") + F.col("centre_n"), differing, percent) <= 0).where(
+        "comp <> centre_comp").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+
+
+def rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, comp, excess, shingle, left): the shingles at which members (id, comp) have to meet.
+
+    ``sets`` are whole ones (id, shingles), or differences (id, n, shingles) of sets of n from a
+    centre. Shingles held by one component only cannot be shared by a pair that is looked for, so
+    they come first in the order of all shingles; the others follow by how many members hold
+    them. ``left`` counts a member's shingles from this one to its last. A set of n that links
+    with another differs from it by at most n * (100 - percent) / percent, so the first shingle
+    that both hold lies where no more have passed; what lies later is left out.
+    """
+    if "n" not in sets.columns:
+        sets = sets.withColumn("n", F.size("shingles").cast("long"))
     held = members.join(sets, "id").select(
-        "id", "comp", F.size("shingles").cast("long").alias("n"),
+        "id", "comp", "n", F.size("shingles").cast("long").alias("differing"),
         F.explode("shingles").alias("shingle"))
     met = held.groupBy("shingle").agg(
         F.count("*").alias("holders"), (F.min("comp") != F.max("comp")).alias("open")
@@ -262,35 +310,35 @@ def rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     of_member = Window.partitionBy("id")
     place = F.row_number().over(of_member.orderBy("holders", "shingle"))
     placed = held.join(met, "shingle").select(
-        "id", "comp", "n", "shingle",
-        (F.col("n") - F.count("*").over(of_member) + place).alias("at"))
-    return placed.where(F.expr(f"n - at + 1 >= (n * {percent} + 99) div 100"))
+        "id", "comp", "n", "differing", "shingle",
+        (F.count("*").over(of_member) - place + 1).alias("left"))
+    return placed.where(f"(differing - left) * {percent} <= n * {100 - percent}").select(
+        "id", "comp", excess(F.col("n"), F.col("differing"), percent).alias("excess"),
+        "shingle", "left")
 
 
 def meeting_pairs(rare: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of different components that may be alike, by where they meet.
 
     At the first shingle that two sets share, each must have as many left as they have to share
-    in all. For the smaller set that is at least the number for two sets of its size.
+    in all; ``reach`` is the greatest excess of another set for which it has.
     Components meet first, so members of one component are never paired with each other.
     """
-    whole = 100 + percent
-    smaller = rare.where(F.expr(f"n - at + 1 >= (2 * n * {percent} + {whole - 1}) div {whole}"))
-
-    def comps(rows: DataFrame, x: str) -> DataFrame:
-        return rows.select("shingle", F.col("comp").alias("comp_" + x)).distinct()
+    held = rare.withColumn("reach", 2 * (100 + percent) * F.col("left") - F.col("excess"))
+    comps = held.groupBy("shingle", "comp").agg(
+        F.min("excess").alias("low"), F.max("reach").alias("far"))
 
     def side(rows: DataFrame, x: str) -> DataFrame:
-        return rows.select("shingle", F.col("id").alias(x), F.col("comp").alias("comp_" + x),
-                           F.col("n").alias("n_" + x),
-                           (F.col("n") - F.col("at") + 1).alias("left_" + x))
+        return rows.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in rows.columns
+                                        if c != "shingle"])
 
-    meetings = comps(smaller, "a").join(comps(rare, "b"), "shingle").where("comp_a <> comp_b")
-    pairs = meetings.join(side(smaller, "a"), ["shingle", "comp_a"]).join(
-        side(rare, "b"), ["shingle", "comp_b"])
-    return pairs.where("n_a < n_b or n_a = n_b and a < b").where(F.expr(
-        f"least(left_a, left_b) >= ((n_a + n_b) * {percent} + {whole - 1}) div {whole}")
-    ).select("a", "b").distinct()
+    meetings = side(comps, "a").join(side(comps, "b"), "shingle").where(
+        "comp_a < comp_b and low_a <= far_b and low_b <= far_a")
+    some = meetings.join(side(held, "a"), ["shingle", "comp_a"]).where(
+        "excess_a <= far_b and low_b <= reach_a")
+    pairs = some.join(side(held, "b"), ["shingle", "comp_b"]).where(
+        "excess_a <= reach_b and excess_b <= reach_a")
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
@@ -365,9 +413,19 @@ def linked_rows(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame,
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     parts.add(verified(rest, sets, percent))
 
+    large = left.where(F.col("members") > FEW).select("band", "id", "members")
+    families = Components(spark)
+    families.add(large.join(large.groupBy("band").agg(F.min("id").alias("first")), "band").select(
+        F.col("id").alias("a"), F.col("first").alias("b")))
     # The links just found may have settled some members of the larger bands.
-    many = parts.label(left.where(F.col("members") > FEW).select("id").distinct(), "id", "comp")
-    rare = keep(rare_shingles(many, sets, percent), "rare")
+    many = parts.label(large.groupBy("id").agg(F.sum("members").alias("weight")), "id", "comp")
+    beside = keep(centred(families.label(many, "id", "family"), sets), "beside")
+    parts.add(verified(links_with_centre(beside, percent), sets, percent))
+    # What a family shares is its own matter: a bijection for each keeps them apart.
+    own = F.xxhash64("family")
+    deltas = beside.select("id", "n", F.transform(
+        "shingles", lambda s: s.bitwiseXOR(own)).alias("shingles"))
+    rare = keep(rare_shingles(parts.label(beside.select("id"), "id", "comp"), deltas, percent), "rare")
     parts.add(verified(estimated(meeting_pairs(rare, percent), classes, threshold), sets, percent))
 
     of_class = parts.label(classes.select("digest", "id", "first.doc_id"), "id", "comp")
